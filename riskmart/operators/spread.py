@@ -19,7 +19,7 @@ def spread_join(
 
     The heaviest keys of the facts are found by a frequent-items sketch, one small
     aggregate over the key column. It cannot miss a key that holds more than about
-    one row in 3,000. The facts of these keys get a slot number from a hash of
+    one row in 1,000. The facts of these keys get a slot number from a hash of
     ``spread_by``, and only their lookup rows are copied once per slot. The sketch
     decides where rows go and never which rows match, so the result is exact.
     At most ``HOT_KEYS`` rows are broadcast, whatever the size of the input. Facts without
@@ -28,8 +28,10 @@ def spread_join(
     top = F.call_function(
         "approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS)
     )
-    hot = facts.agg(F.explode(top).alias("_top")).select(
-        F.col("_top.item").alias(key), F.lit(True).alias("_hot")
+    hot = (
+        facts.agg(top.alias("_top"))
+        .select(F.inline("_top"))
+        .select(F.col("item").alias(key), F.lit(True).alias("_hot"))
     )
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
     spread_facts = facts.join(F.broadcast(hot), key, "left").withColumn(

@@ -345,3 +345,286 @@ oracle(
       ts AS kafka_timestamp, error_codes FROM bad""",
     "bad",
 )
+
+# ---- serving over gold ----------------------------------------------------------------
+
+oracle(
+    "seller_watchlist",
+    """SELECT row_number() OVER (ORDER BY confirmed_chargeback_count DESC, flagged_rate_pct DESC,
+        gross_payment_value DESC, CAST(supp AS VARCHAR)) AS seller_rank,
+      * EXCLUDE (supp, latest_payment_at) FROM sellers QUALIFY seller_rank <= 8""",
+    "sellers",
+)
+oracle("customer_segments", "SELECT customer_risk_segment, count(*) AS count FROM c360 GROUP BY 1", "c360")
+oracle(
+    "segment_share",
+    f"""SELECT s AS customer_risk_segment, count(cust) AS count,
+      {pct('count(cust)', '(SELECT count(*) FROM c360)')} AS share_pct
+    FROM (VALUES ('LOW'), ('MEDIUM'), ('HIGH')) v(s) LEFT JOIN c360 ON customer_risk_segment = s GROUP BY s""",
+    "c360",
+)
+part(
+    "fraud_days",
+    f"SELECT event_time::DATE AS day, count(*) AS n, {mean_score()} AS score FROM dec GROUP BY 1",
+    "dec",
+)
+oracle(
+    "headline_kpis",
+    f"""SELECT count(*) AS payment_count, CAST(sum(amount) AS DOUBLE) AS gross_payment_value,
+      {many('disputed')} AS chargeback_count, count(DISTINCT currency) AS currencies,
+      count(*) AS total_decisions, {many("action = 'APPROVE'")} AS approved_count,
+      {many("action = 'REVIEW'")} AS review_count, {many("action = 'DECLINE'")} AS declined_count,
+      {worth("action = 'REVIEW'")} AS review_amount, {worth("action = 'DECLINE'")} AS declined_amount,
+      {worth('disputed')} AS confirmed_fraud_amount,
+      (SELECT round(sum(score * n) / sum(n), 2) FROM fraud_days) AS average_risk_score,
+      (SELECT count(*) FROM customer) AS current_customers, count(DISTINCT supp) AS active_sellers,
+      {pct(many(FLAGGED), 'count(*)')} AS flagged_rate_pct,
+      {pct(many('disputed'), 'count(*)')} AS chargeback_rate_pct FROM dec""",
+    "dec", "fraud_days",
+)
+oracle(
+    "currency_totals",
+    f"""SELECT currency, count(*) AS payment_count, CAST(sum(amount) AS DOUBLE) AS gross_payment_value,
+      {many('disputed')} AS chargeback_count, {worth('disputed')} AS chargeback_amount FROM dec GROUP BY 1""",
+    "dec",
+)
+for _extract, _table in (("extract_business_kpis", "daily_business_kpis"), ("extract_fraud_kpis", "daily_fraud_kpis")):
+    ORACLES[_extract] = f"SELECT * EXCLUDE (refreshed_at) FROM ({ORACLES[_table]})"
+oracle(
+    "source_row_counts",
+    """SELECT 'customers' AS table_name, count(*) AS row_count FROM customer
+    UNION ALL SELECT 'orders', count(*) FROM orders
+    UNION ALL SELECT 'payments', count(*) FROM pay UNION ALL SELECT 'decisions', count(*) FROM pay
+    UNION ALL SELECT 'chargebacks', count(*) FROM pay WHERE disputed""",
+    "pay",
+)
+
+# ---- marketplace -------------------------------------------------------------------------
+
+part(
+    "mc",
+    """SELECT c_custkey AS cust, c_custkey // 2 AS person, CAST(c_custkey % 200 AS INT) AS zip,
+      lower(c_mktsegment) AS city, n_name AS state, CAST(c_acctbal AS DECIMAL(12,2)) AS lat
+    FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+)
+part(
+    "mo",
+    """SELECT o_orderkey AS k, o_custkey AS cust,
+      CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'shipped' ELSE 'delivered' END AS status,
+      o_orderdate AS bought,
+      CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate + INTERVAL 5 HOUR END AS approved,
+      CASE WHEN o_orderstatus <> 'F' THEN o_orderdate + INTERVAL 2 DAY END AS carried,
+      CASE WHEN o_orderstatus = 'P' THEN o_orderdate + to_hours(24 * (o_orderkey % 20) + o_orderkey % 24) END AS delivered,
+      o_orderdate + INTERVAL 12 DAY AS estimated FROM orders""",
+)
+part(
+    "lines",
+    """SELECT *, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+      row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place FROM lineitem""",
+)
+part(
+    "mi",
+    """SELECT l_orderkey AS k, place, l_partkey AS prod, l_suppkey AS supp, l_shipdate AS ship, price,
+      CAST(price * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS freight FROM lines""",
+    "lines",
+)
+part(
+    "mp",
+    """SELECT l_orderkey AS k, place AS seq,
+      CASE l_linenumber % 4 WHEN 0 THEN 'CREDIT_CARD' WHEN 1 THEN 'BOLETO' WHEN 2 THEN 'DEBIT CARD' ELSE '' END AS kind,
+      CAST(l_quantity AS INT) % 13 AS inst,
+      CASE WHEN l_orderkey % 50 = 0 THEN price * 20 ELSE price END AS value FROM lines""",
+    "lines",
+)
+part(
+    "mr",
+    """SELECT o_orderkey AS k, CAST(o_orderkey % 5 + 1 AS INT) AS score, o_orderdate AS written
+    FROM orders WHERE o_orderkey % 3 <> 0""",
+)
+oracle(
+    "dim_customers",
+    """SELECT CAST(cust AS VARCHAR) AS customer_id, CAST(person AS VARCHAR) AS customer_unique_id,
+      zip AS zip_code_prefix, city, state FROM mc""",
+    "mc",
+)
+oracle(
+    "dim_sellers",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_suppkey % 200 AS INT) AS zip_code_prefix,
+      'city ' || s_suppkey % 40 AS city, n_name AS state FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
+)
+oracle(
+    "dim_products",
+    """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+      CASE WHEN p_partkey % 50 = 0 THEN 'unknown' WHEN p_type = 'ECONOMY' THEN p_type
+        ELSE lower(p_type) || '_en' END AS category,
+      CAST(length(p_name) AS INT) AS name_length, p_size * 10 AS description_length,
+      CASE WHEN p_partkey % 31 <> 0 THEN p_size % 5 END AS photo_count, CAST(p_size * 100 AS DOUBLE) AS weight_g,
+      CAST(p_size + 5 AS DOUBLE) AS length_cm, CAST(p_size + 2 AS DOUBLE) AS height_cm,
+      CAST(p_size + 1 AS DOUBLE) AS width_cm FROM part""",
+)
+part(
+    "geo",
+    """SELECT zip AS zip_code_prefix, city, state, round(CAST(sum(lat) AS DOUBLE) / count(*), 4) AS latitude,
+      round(-CAST(sum(lat) AS DOUBLE) / count(*), 4) AS longitude, count(*) AS point_count FROM mc GROUP BY 1, 2, 3""",
+    "mc",
+)
+oracle("geolocation_candidates", "SELECT * FROM geo", "geo")
+oracle(
+    "dim_geolocation_zip",
+    """SELECT * FROM geo QUALIFY row_number() OVER (
+      PARTITION BY zip_code_prefix ORDER BY point_count DESC, state, city) = 1""",
+    "geo",
+)
+oracle(
+    "fact_orders",
+    """SELECT CAST(k AS VARCHAR) AS order_id, CAST(cust AS VARCHAR) AS customer_id, status AS order_status,
+      bought AS purchased_at, approved AS approved_at, carried AS carrier_received_at,
+      delivered AS delivered_at, estimated AS estimated_delivery_at FROM mo""",
+    "mo",
+)
+oracle(
+    "fact_order_items",
+    """SELECT CAST(k AS VARCHAR) AS order_id, CAST(place AS INT) AS order_item_id, CAST(prod AS VARCHAR) AS product_id,
+      CAST(supp AS VARCHAR) AS seller_id, ship AS shipping_limit_at, CAST(price AS DOUBLE) AS item_value_brl,
+      CAST(freight AS DOUBLE) AS freight_value_brl FROM mi""",
+    "mi",
+)
+oracle(
+    "fact_payments",
+    """SELECT CAST(k AS VARCHAR) AS order_id, CAST(seq AS INT) AS payment_sequence, kind AS payment_type,
+      inst AS installments, CAST(value AS DOUBLE) AS payment_value_brl FROM mp""",
+    "mp",
+)
+oracle(
+    "fact_reviews",
+    """SELECT 'rv-' || k AS review_id, CAST(k AS VARCHAR) AS order_id, score AS review_score,
+      CASE WHEN k % 4 <> 0 THEN 'title ' || k END AS review_title,
+      'said "fine", then' || chr(10) || 'left ' || k % 9 AS review_message,
+      written AS review_created_at, written + INTERVAL 1 DAY AS review_answered_at FROM mr""",
+    "mr",
+)
+oracle(
+    "market_layer_row_counts",
+    """SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM customer
+    UNION ALL SELECT 'dim_sellers', count(*) FROM supplier UNION ALL SELECT 'dim_products', count(*) FROM part
+    UNION ALL SELECT 'dim_geolocation_zip', count(DISTINCT zip) FROM mc
+    UNION ALL SELECT 'fact_orders', count(*) FROM orders UNION ALL SELECT 'fact_order_items', count(*) FROM lineitem
+    UNION ALL SELECT 'fact_payments', count(*) FROM lineitem UNION ALL SELECT 'fact_reviews', count(*) FROM mr""",
+    "mc", "mr",
+)
+part("paid", "SELECT k, sum(value) AS total FROM mp GROUP BY k", "mp")
+oracle("order_payment_totals", "SELECT CAST(k AS VARCHAR) AS order_id, CAST(total AS DOUBLE) AS revenue_brl FROM paid", "paid")
+part(
+    "valued",
+    "SELECT mo.*, person, state, coalesce(total, 0) AS total FROM mo JOIN mc USING (cust) LEFT JOIN paid USING (k)",
+    "mo", "mc", "paid",
+)
+part(
+    "commerce",
+    f"""SELECT strftime(bought, '%Y-%m-%d') AS order_date, count(*) AS order_count,
+      count(DISTINCT person) AS unique_customers, CAST(sum(total) AS DOUBLE) AS revenue_brl,
+      {half_up('sum(total) * 100', 'count(*)')} AS average_order_value_brl,
+      {many("status = 'delivered'")} AS delivered_orders, {many("status = 'canceled'")} AS failed_orders
+    FROM valued GROUP BY 1""",
+    "valued",
+)
+oracle("daily_commerce_kpis", "SELECT * FROM commerce", "commerce")
+oracle(
+    "daily_series",
+    "SELECT order_date, order_count, revenue_brl, average_order_value_brl FROM commerce",
+    "commerce",
+)
+oracle(
+    "market_global_kpis",
+    f"""SELECT count(*) AS orders, count(DISTINCT person) AS unique_customers, CAST(sum(total) AS DOUBLE) AS revenue_brl,
+      {half_up('sum(total) * 100', 'count(*)')} AS average_order_value_brl,
+      {pct(many("status = 'delivered'"), 'count(*)')} AS delivered_pct FROM valued""",
+    "valued",
+)
+part(
+    "delivery",
+    """SELECT state AS customer_state, count(*) AS delivered_orders,
+      round(CAST(sum(date_sub('hour', bought, delivered)) AS DOUBLE) / count(*) / 24, 2) AS average_delivery_days,
+      round(100.0::DOUBLE * count(*) FILTER (WHERE delivered <= estimated) / count(*), 2) AS on_time_delivery_pct
+    FROM valued WHERE status = 'delivered' GROUP BY state""",
+    "valued",
+)
+oracle("delivery_performance", "SELECT * FROM delivery", "delivery")
+oracle("delivery_table", "SELECT * FROM delivery", "delivery")
+part(
+    "msell",
+    """SELECT s_suppkey AS supp, 'city ' || s_suppkey % 40 AS city, n_name AS state, orders,
+      merchandise_value_brl, freight_value_brl, average_review_score
+    FROM supplier JOIN nation ON n_nationkey = s_nationkey
+    JOIN (SELECT supp, count(DISTINCT k) AS orders, CAST(sum(price) AS DOUBLE) AS merchandise_value_brl,
+        CAST(sum(freight) AS DOUBLE) AS freight_value_brl FROM mi GROUP BY supp) m ON m.supp = s_suppkey
+    LEFT JOIN (SELECT supp, CAST((200 * sum(score) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average_review_score
+      FROM (SELECT DISTINCT k, supp FROM mi) JOIN mr USING (k) GROUP BY supp) r ON r.supp = s_suppkey""",
+    "mi", "mr",
+)
+oracle("market_seller_performance", "SELECT CAST(supp AS VARCHAR) AS seller_id, * EXCLUDE (supp) FROM msell", "msell")
+oracle(
+    "top_sellers",
+    """SELECT state, city, orders, merchandise_value_brl, average_review_score FROM msell
+    ORDER BY merchandise_value_brl DESC, CAST(supp AS VARCHAR) LIMIT 25""",
+    "msell",
+)
+oracle(
+    "market_customer_360",
+    f"""SELECT CAST(person AS VARCHAR) AS customer_unique_id, max(state) AS state, count(*) AS order_count,
+      min(bought) AS first_order_at, max(bought) AS latest_order_at, CAST(sum(total) AS DOUBLE) AS lifetime_value_brl,
+      {half_up('sum(total) * 100', 'count(*)')} AS average_order_value_brl,
+      {many("status = 'canceled'")} AS failed_orders FROM valued GROUP BY person""",
+    "valued",
+)
+part(
+    "sig0",
+    """SELECT DISTINCT k, person, bought, status, seq, kind, inst, value, score AS review_score
+    FROM mp JOIN mo USING (k) JOIN mc USING (cust) LEFT JOIN mr USING (k)""",
+    "mp", "mo", "mc", "mr",
+)
+part(
+    "sig1",
+    """SELECT *, (2 * CAST(sum(value) OVER w * 100 AS HUGEINT) * 10000 + count(*) OVER w) // (2 * count(*) OVER w) AS mean6
+    FROM sig0 WINDOW w AS (PARTITION BY person)""",
+    "sig0",
+)
+part(
+    "sig2",
+    """SELECT *, CAST(value * 100 AS HUGEINT) * 10000 > greatest(3 * mean6, 500000000) AS g1, inst >= 10 AS g2, seq > 1 AS g3,
+      status = 'canceled' AS g4, coalesce(review_score = 1, false) AS g5 FROM sig1""",
+    "sig1",
+)
+part(
+    "sig",
+    """SELECT *, 35 * g1::INT + 20 * g2::INT + 10 * g3::INT + 25 * g4::INT + 10 * g5::INT AS risk_score,
+      concat_ws(',', CASE WHEN g1 THEN 'AMOUNT_OUTLIER' END, CASE WHEN g2 THEN 'HIGH_INSTALLMENTS' END,
+        CASE WHEN g3 THEN 'SPLIT_PAYMENT' END, CASE WHEN g4 THEN 'FAILED_ORDER' END,
+        CASE WHEN g5 THEN 'LOW_REVIEW' END) AS reason_codes,
+      CASE WHEN risk_score >= 60 THEN 'HIGH' WHEN risk_score >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band,
+      'HEURISTIC_PROXY_NOT_CONFIRMED_FRAUD' AS label_status FROM sig2""",
+    "sig2",
+)
+oracle(
+    "payment_risk_signals",
+    """SELECT CAST(k AS VARCHAR) AS order_id, CAST(person AS VARCHAR) AS customer_unique_id, bought AS purchased_at,
+      status AS order_status, CAST(seq AS INT) AS payment_sequence, kind AS payment_type, inst AS installments,
+      CAST(value AS DOUBLE) AS payment_value_brl, CAST(mean6 AS DOUBLE) / 1000000 AS customer_average_brl,
+      review_score, risk_score, reason_codes, risk_band, label_status FROM sig""",
+    "sig",
+)
+oracle(
+    "risk_band_summary",
+    """SELECT risk_band, count(*) AS payments, CAST(sum(value) AS DOUBLE) AS payment_value_brl,
+      CAST((200 * CAST(sum(risk_score) AS HUGEINT) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average_risk_score
+    FROM sig GROUP BY 1""",
+    "sig",
+)
+oracle(
+    "top_risky_payments",
+    """SELECT CAST(k AS VARCHAR) AS order_id, bought AS purchased_at, kind AS payment_type,
+      CAST(value AS DOUBLE) AS payment_value_brl, risk_score, risk_band, reason_codes, label_status FROM sig
+    WHERE risk_score >= 30 ORDER BY risk_score DESC, value DESC, CAST(k AS VARCHAR), seq LIMIT 100""",
+    "sig",
+)

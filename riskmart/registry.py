@@ -16,10 +16,11 @@ from riskmart.contracts import CHARGEBACKS, CUSTOMERS, ENTITIES, ORDERS, PAYMENT
 from riskmart.operators.merge import merge_actions, merge_changes
 from riskmart.operators.quality import CODES
 from riskmart.plans import decisions as risk
-from riskmart.plans import gold
+from riskmart.plans import gold, market_gold, market_silver, serving
 from riskmart.plans import silver_cdc as silver
 from riskmart.session import apply_runtime_settings
 from riskmart.sources.change_log import bronze_rows
+from riskmart.sources.json_extract import json_ready
 from riskmart.sources.sample_domain import SampleDomain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +204,197 @@ def seller_performance(d: SampleDomain) -> DataFrame:
 @query
 def customer_360(d: SampleDomain) -> DataFrame:
     return gold.customer_360(d.customers(), d.orders(), enriched(d), AS_OF)
+
+
+# ---- serving over gold -----------------------------------------------------------
+
+
+@query
+def seller_watchlist(d: SampleDomain) -> DataFrame:
+    return serving.seller_watchlist(gold.seller_performance(enriched(d), AS_OF))
+
+
+@query
+def customer_segments(d: SampleDomain) -> DataFrame:
+    return serving.segment_counts(gold.customer_360(d.customers(), d.orders(), enriched(d), AS_OF))
+
+
+@query
+def segment_share(d: SampleDomain) -> DataFrame:
+    return serving.segment_share(gold.customer_360(d.customers(), d.orders(), enriched(d), AS_OF))
+
+
+@query
+def headline_kpis(d: SampleDomain) -> DataFrame:
+    tables = gold.gold_tables(d.customers(), d.orders(), enriched(d), AS_OF)
+    return serving.headline_kpis(
+        tables["daily_business_kpis"], tables["daily_fraud_kpis"],
+        tables["seller_performance"], tables["customer_360"],
+    )
+
+
+@query
+def currency_totals(d: SampleDomain) -> DataFrame:
+    return serving.currency_totals(gold.daily_business_kpis(enriched(d), AS_OF))
+
+
+@query
+def extract_business_kpis(d: SampleDomain) -> DataFrame:
+    return json_ready(gold.daily_business_kpis(enriched(d), AS_OF).drop("refreshed_at"))
+
+
+@query
+def extract_fraud_kpis(d: SampleDomain) -> DataFrame:
+    return json_ready(gold.daily_fraud_kpis(enriched(d), AS_OF).drop("refreshed_at"))
+
+
+@query
+def source_row_counts(d: SampleDomain) -> DataFrame:
+    payments = d.payments()
+    return serving.row_counts(
+        {
+            "customers": d.customers(), "orders": d.orders(), "payments": payments,
+            "decisions": risk.decide(payments, as_of()), "chargebacks": d.chargebacks(),
+        }
+    )
+
+
+# ---- marketplace dimensions and facts -----------------------------------------------
+
+
+def market_facts(d: SampleDomain) -> dict[str, DataFrame]:
+    return {
+        "dim_customers": market_silver.dim_customers(d.market("customers")),
+        "dim_sellers": market_silver.dim_sellers(d.market("sellers")),
+        "dim_products": market_silver.dim_products(
+            d.market("products"), d.market("product_category_name_translation")
+        ),
+        "dim_geolocation_zip": market_silver.dim_geolocation_zip(d.market("geolocation")),
+        "fact_orders": market_silver.fact_orders(d.market("orders")),
+        "fact_order_items": market_silver.fact_order_items(d.market("order_items")),
+        "fact_payments": market_silver.fact_payments(d.market("order_payments")),
+        "fact_reviews": market_silver.fact_reviews(d.market("order_reviews")),
+    }
+
+
+def _register_fact(name: str) -> None:
+    def build(d: SampleDomain) -> DataFrame:
+        return market_facts(d)[name]
+
+    build.__name__ = name
+    query(build)
+
+
+for _name in ("dim_customers", "dim_sellers", "dim_products", "fact_orders", "fact_order_items",
+              "fact_payments", "fact_reviews"):
+    _register_fact(_name)
+
+
+def _rounded_place(frame: DataFrame) -> DataFrame:
+    """Means of doubles differ in the last bits with the order of summation."""
+    return frame.withColumns({c: F.round(c, 4) for c in ("latitude", "longitude")})
+
+
+@query
+def geolocation_candidates(d: SampleDomain) -> DataFrame:
+    return _rounded_place(market_silver.geolocation_candidates(d.market("geolocation")))
+
+
+@query
+def dim_geolocation_zip(d: SampleDomain) -> DataFrame:
+    return _rounded_place(market_silver.dim_geolocation_zip(d.market("geolocation")))
+
+
+@query
+def market_layer_row_counts(d: SampleDomain) -> DataFrame:
+    return serving.row_counts(market_facts(d))
+
+
+# ---- marketplace gold ------------------------------------------------------------------
+
+
+def market_daily(d: SampleDomain) -> DataFrame:
+    t = market_facts(d)
+    return market_gold.daily_commerce_kpis(t["fact_orders"], t["dim_customers"], t["fact_payments"])
+
+
+def market_people(d: SampleDomain) -> DataFrame:
+    t = market_facts(d)
+    return market_gold.customer_360(t["fact_orders"], t["dim_customers"], t["fact_payments"])
+
+
+def market_delivery(d: SampleDomain) -> DataFrame:
+    t = market_facts(d)
+    return market_gold.delivery_performance(t["fact_orders"], t["dim_customers"])
+
+
+def market_sellers(d: SampleDomain) -> DataFrame:
+    t = market_facts(d)
+    return market_gold.seller_performance(t["dim_sellers"], t["fact_order_items"], t["fact_reviews"])
+
+
+def market_signals(d: SampleDomain) -> DataFrame:
+    t = market_facts(d)
+    return market_gold.payment_risk_signals(
+        t["fact_orders"], t["dim_customers"], t["fact_payments"], t["fact_reviews"]
+    )
+
+
+@query
+def order_payment_totals(d: SampleDomain) -> DataFrame:
+    return market_gold.order_payment_totals(market_facts(d)["fact_payments"])
+
+
+@query
+def daily_commerce_kpis(d: SampleDomain) -> DataFrame:
+    return market_daily(d)
+
+
+@query
+def delivery_performance(d: SampleDomain) -> DataFrame:
+    return market_delivery(d)
+
+
+@query
+def market_seller_performance(d: SampleDomain) -> DataFrame:
+    return market_sellers(d)
+
+
+@query
+def market_customer_360(d: SampleDomain) -> DataFrame:
+    return market_people(d)
+
+
+@query
+def payment_risk_signals(d: SampleDomain) -> DataFrame:
+    return market_signals(d)
+
+
+@query
+def risk_band_summary(d: SampleDomain) -> DataFrame:
+    return serving.risk_band_summary(market_signals(d))
+
+
+@query
+def top_risky_payments(d: SampleDomain) -> DataFrame:
+    return serving.top_risky_payments(market_signals(d))
+
+
+@query
+def market_global_kpis(d: SampleDomain) -> DataFrame:
+    return serving.market_global_kpis(market_daily(d), market_people(d))
+
+
+@query
+def daily_series(d: SampleDomain) -> DataFrame:
+    return serving.daily_series(market_daily(d))
+
+
+@query
+def top_sellers(d: SampleDomain) -> DataFrame:
+    return serving.top_sellers(market_sellers(d))
+
+
+@query
+def delivery_table(d: SampleDomain) -> DataFrame:
+    return serving.delivery_table(market_delivery(d))
