@@ -404,7 +404,7 @@ oracle(
 part(
     "mc",
     """SELECT c_custkey AS cust, c_custkey // 2 AS person, CAST(c_custkey % 200 AS INT) AS zip,
-      lower(c_mktsegment) AS city, n_name AS state, CAST(c_acctbal AS DECIMAL(12,2)) AS lat
+      lower(c_mktsegment) AS city, n_name AS state, lower(n_name) || ' ' AS raw_state, CAST(c_acctbal AS DECIMAL(12,2)) AS lat
     FROM customer JOIN nation ON n_nationkey = c_nationkey""",
 )
 part(
@@ -628,3 +628,123 @@ oracle(
     WHERE risk_score >= 30 ORDER BY risk_score DESC, value DESC, CAST(k AS VARCHAR), seq LIMIT 100""",
     "sig",
 )
+
+# ---- replay -----------------------------------------------------------------------------
+
+
+def uuid5(entity: str, key: str) -> str:
+    """Version-5 UUID of ``riskmart/replay/<entity>/<key>`` in the URL namespace."""
+    return (
+        "list_transform([sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || "
+        f"encode('riskmart/replay/{entity}/' || {key}))], lambda h: substr(h, 1, 8) || '-' || substr(h, 9, 4) "
+        "|| '-5' || substr(h, 14, 3) || '-' || substr('89ab', 1 + ('0x' || substr(h, 17, 1))::INT % 4, 1) "
+        "|| substr(h, 18, 3) || '-' || substr(h, 21, 12))[1]"
+    )
+
+
+def half_even(total_cents: str, count: str) -> str:
+    """Mean of a total in cents, ties to the even cent, in currency units."""
+    t, n = f"CAST({total_cents} AS HUGEINT)", f"CAST({count} AS HUGEINT)"
+    return (
+        f"(CAST({t} // {n} + CASE WHEN 2 * ({t} % {n}) > {n} OR (2 * ({t} % {n}) = {n} AND ({t} // {n}) % 2 = 1) "
+        "THEN 1 ELSE 0 END AS DOUBLE) / 100)"
+    )
+
+
+part("rp", "SELECT * REPLACE (CASE WHEN k % 61 = 0 THEN 0 ELSE value END AS value) FROM mp", "mp")
+part("rpaid", "SELECT k, sum(value) AS total FROM rp GROUP BY k", "rp")
+part(
+    "persons",
+    f"""SELECT person, min(bought) - INTERVAL 30 DAY AS opened,
+      CASE WHEN count(total) > 0 THEN {half_even('coalesce(sum(total), 0) * 100', 'greatest(count(total), 1)')}
+        ELSE 0 END AS average
+    FROM mo JOIN mc USING (cust) LEFT JOIN rpaid USING (k) GROUP BY person""",
+    "mo", "mc", "rpaid",
+)
+oracle(
+    "replay_customers",
+    f"""SELECT {uuid5('customer', 'person')} AS customer_id, raw_state AS home_region, opened AS account_created_at,
+      average AS average_order_amount, 'trusted-' || person AS trusted_device_id
+    FROM persons JOIN (SELECT person, raw_state FROM mc QUALIFY row_number() OVER (
+      PARTITION BY person ORDER BY CAST(cust AS VARCHAR)) = 1) USING (person)""",
+    "persons", "mc",
+)
+oracle(
+    "replay_sellers",
+    f"""SELECT {uuid5('seller', 's_suppkey')} AS seller_id, lower(n_name) AS seller_region, 'LOW' AS risk_tier
+    FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)""",
+)
+part("listed", "SELECT prod, supp, sum(price) AS total, count(*) AS n FROM mi GROUP BY 1, 2", "mi")
+oracle(
+    "replay_listings",
+    f"""SELECT {uuid5('listing', "prod || ':' || supp")} AS product_id, {uuid5('seller', 'supp')} AS seller_id,
+      CASE WHEN p_partkey % 50 = 0 THEN 'unknown' WHEN p_type = 'ECONOMY' THEN p_type
+        ELSE lower(p_type) || '_en' END AS category, {half_even('total * 100', 'n')} AS unit_price
+    FROM listed JOIN part ON p_partkey = prod""",
+    "listed",
+)
+oracle(
+    "replay_inventory",
+    f"""SELECT {uuid5('listing', "prod || ':' || supp")} AS product_id, 1000000 AS available_quantity FROM listed""",
+    "listed",
+)
+STATUS = "CASE status WHEN 'canceled' THEN 'CANCELLED' WHEN 'shipped' THEN 'SHIPPED' ELSE 'DELIVERED' END"
+part(
+    "rorders",
+    f"""SELECT {uuid5('order', 'k')} AS order_id, {uuid5('customer', 'person')} AS customer_id, {STATUS} AS status,
+      CAST(coalesce(total, 0) AS DOUBLE) AS total_amount, raw_state AS shipping_region, bought AS created_at, k
+    FROM mo JOIN mc USING (cust) LEFT JOIN rpaid USING (k)""",
+    "mo", "mc", "rpaid",
+)
+oracle("replay_orders", "SELECT * EXCLUDE (k) FROM rorders", "rorders")
+oracle(
+    "replay_order_slice",
+    """SELECT * EXCLUDE (k, total_amount) FROM rorders ORDER BY created_at, CAST(k AS VARCHAR) LIMIT 10000""",
+    "rorders",
+)
+oracle(
+    "replay_order_items",
+    f"""SELECT {uuid5('order', 'k')} AS order_id, {uuid5('listing', "prod || ':' || supp")} AS product_id,
+      count(*) AS quantity, {half_even('sum(price) * 100', 'count(*)')} AS unit_price FROM mi GROUP BY k, prod, supp""",
+    "mi",
+)
+part(
+    "tender",
+    """SELECT rp.*, person, raw_state AS region, first.supp AS seller, status,
+      coalesce(approved, bought) AS event_time, opened, average
+    FROM rp JOIN mo USING (k) JOIN mc USING (cust) JOIN persons USING (person)
+    JOIN (SELECT k, supp FROM mi WHERE place = 1) first USING (k)""",
+    "rp", "mo", "mc", "persons", "mi",
+)
+oracle(
+    "replay_payments",
+    f"""SELECT {uuid5('transaction', "k || ':' || seq")} AS transaction_id,
+      {uuid5('payment-event', "k || ':' || seq")} AS event_id, {uuid5('order', 'k')} AS order_id,
+      {uuid5('customer', 'person')} AS customer_id, {uuid5('seller', 'seller')} AS seller_id, event_time,
+      CAST(value AS DOUBLE) AS amount, 'BRL' AS currency,
+      CASE kind WHEN '' THEN 'UNKNOWN' ELSE replace(kind, ' ', '_') END AS payment_type,
+      'trusted-' || person AS device_id, false AS is_new_device, region AS ip_region, region AS home_region,
+      region AS shipping_region, CAST(date_sub('day', opened, event_time) AS INT) AS account_age_days,
+      0 AS login_failures, 1 AS attempt_number, average AS customer_average_amount,
+      CASE status WHEN 'canceled' THEN 'DECLINED' ELSE 'AUTHORIZED' END AS status FROM tender WHERE value > 0""",
+    "tender",
+)
+oracle("replay_skipped_payments", "SELECT count(*) AS skipped_payments FROM tender WHERE value <= 0", "tender")
+part(
+    "levels",
+    """SELECT c_custkey, CAST(greatest(c_acctbal, 100) AS DECIMAL(12,2)) AS b FROM customer""",
+)
+part(
+    "baskets",
+    """SELECT p_partkey AS p, q, CAST(CAST(p_retailprice AS DECIMAL(12,2)) * q AS DECIMAL(14,2)) AS amount
+    FROM part, (VALUES (1), (2), (3)) v(q)""",
+)
+oracle(
+    "basket_match",
+    """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(b AS DOUBLE) AS baseline, n AS in_band_baskets,
+      n > 0 AS in_band, best.p AS product_key, CAST(best.q AS INT) AS quantity, CAST(best.a AS DOUBLE) AS amount
+    FROM levels JOIN (SELECT b, count(*) FILTER (WHERE 2 * amount >= b AND 2 * amount <= 3 * b) AS n,
+        min({'d': abs(amount - b), 'p': p, 'q': q, 'a': amount}) AS best
+      FROM (SELECT DISTINCT b FROM levels), baskets GROUP BY b) USING (b)""",
+    "levels", "baskets",
+)

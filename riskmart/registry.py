@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.contracts import CHARGEBACKS, CUSTOMERS, ENTITIES, ORDERS, PAYMENTS
+from riskmart.operators import basket
 from riskmart.operators.merge import merge_actions, merge_changes
 from riskmart.operators.quality import CODES
 from riskmart.plans import decisions as risk
 from riskmart.plans import gold, market_gold, market_silver, serving
 from riskmart.plans import silver_cdc as silver
+from riskmart.plans.replay import Replay
 from riskmart.session import apply_runtime_settings
 from riskmart.sources.change_log import bronze_rows
 from riskmart.sources.json_extract import json_ready
@@ -398,3 +400,77 @@ def top_sellers(d: SampleDomain) -> DataFrame:
 @query
 def delivery_table(d: SampleDomain) -> DataFrame:
     return serving.delivery_table(market_delivery(d))
+
+
+# ---- replay of the marketplace history ----------------------------------------------------
+
+
+def replay(d: SampleDomain, limit: int = 0) -> Replay:
+    return Replay(
+        customers_file=d.market("customers"),
+        orders_file=d.market("orders"),
+        items_file=d.market("order_items"),
+        payments_file=d.payments_with_free_orders(),
+        products_file=d.market("products"),
+        translation_file=d.market("product_category_name_translation"),
+        sellers_file=d.market("sellers"),
+        limit=limit,
+    )
+
+
+@query
+def replay_customers(d: SampleDomain) -> DataFrame:
+    return replay(d).customers()
+
+
+@query
+def replay_sellers(d: SampleDomain) -> DataFrame:
+    return replay(d).sellers()
+
+
+@query
+def replay_listings(d: SampleDomain) -> DataFrame:
+    return replay(d).listings()
+
+
+@query
+def replay_inventory(d: SampleDomain) -> DataFrame:
+    return replay(d).inventory()
+
+
+@query
+def replay_orders(d: SampleDomain) -> DataFrame:
+    return replay(d).orders()
+
+
+@query
+def replay_order_items(d: SampleDomain) -> DataFrame:
+    return replay(d).order_items()
+
+
+@query
+def replay_payments(d: SampleDomain) -> DataFrame:
+    return replay(d).payments()
+
+
+@query
+def replay_skipped_payments(d: SampleDomain) -> DataFrame:
+    return replay(d).skipped_payments()
+
+
+@query
+def replay_order_slice(d: SampleDomain) -> DataFrame:
+    """The default slice: the earliest 10,000 orders."""
+    return replay(d, limit=10_000).orders().drop("total_amount")
+
+
+@query
+def basket_match(d: SampleDomain) -> DataFrame:
+    customers = d.table("customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.greatest(F.col("c_acctbal"), F.lit(100.0)).cast("decimal(12,2)").alias("baseline"),
+    )
+    catalogue = d.table("part").select(
+        F.col("p_partkey").alias("product_key"), F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price")
+    )
+    return basket.basket_match(customers, catalogue)
