@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Gate:
-    """Passes when ``expected`` equals ``actual``: measure names, or a whole number.
+    """Passes when ``expected`` (a measure or a whole number) equals the measure ``actual``.
 
-    Of several measure names the extremes are compared, least against greatest.
+    Without an expectation all measures of ``actual`` must be equal; the least and the
+    greatest of them are reported.
     """
 
     name: str
-    expected: str | int
+    expected: str | int | None
     actual: str | Sequence[str]
 
 
@@ -72,7 +73,7 @@ def evaluate(all_measures: Sequence[DataFrame], gates: Sequence[Gate]) -> DataFr
     rows = []
     for gate in gates:
         actual = [F.col(f"`{name}`") for name in _names(gate)]
-        if len(actual) > 1:
+        if gate.expected is None:
             low, high = F.least(*actual), F.greatest(*actual)
         else:
             high = actual[0]

@@ -748,3 +748,90 @@ oracle(
       FROM (SELECT DISTINCT b FROM levels), baskets GROUP BY b) USING (b)""",
     "levels", "baskets",
 )
+
+# ---- gates ------------------------------------------------------------------------------
+
+_ZERO_GATES = (
+    "one_decision_per_transaction one_chargeback_per_transaction chargebacks_have_payments "
+    "payments_have_decisions decision_ids_unique silver_customers_keys_unique silver_orders_keys_unique "
+    "silver_payments_keys_unique silver_chargebacks_keys_unique gold_daily_business_kpis_grain_unique "
+    "gold_daily_fraud_kpis_grain_unique gold_seller_performance_grain_unique gold_customer_360_grain_unique"
+).split()
+_PAYMENT_GATES = (
+    "decisions_equal_logged_payments decisions_equal_payments business_total_equals_payments "
+    "fraud_total_equals_decisions seller_total_equals_payments customer_total_equals_payments "
+    "extract_payments_reconcile extract_decisions_reconcile"
+).split()
+_gate_rows = [f"('{gate}', CAST(0 AS BIGINT))" for gate in _ZERO_GATES]
+_gate_rows += [f"('{gate}', (SELECT count(*) FROM pay))" for gate in _PAYMENT_GATES]
+_gate_rows += [
+    f"('one_refresh_stamp', epoch_us({AS_OF}))",
+    "('confirmed_fraud_equals_chargebacks', (SELECT count(*) FROM pay WHERE disputed))",
+    "('one_profile_per_customer', (SELECT count(*) FROM customer))",
+    "('extract_customers_reconcile', (SELECT count(*) FROM customer))",
+    "('one_row_per_active_seller', (SELECT count(DISTINCT supp) FROM pay))",
+]
+oracle(
+    "gates_summary",
+    f"SELECT gate, n AS expected, n AS actual, true AS passed FROM (VALUES {', '.join(_gate_rows)}) v(gate, n)",
+    "pay",
+)
+oracle(
+    "unmatched_chargebacks",
+    """SELECT 'cb-' || o_orderkey AS chargeback_id, CAST(o_orderkey AS VARCHAR) AS transaction_id
+    FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+)
+oracle(
+    "duplicate_keys",
+    """SELECT unnest(['lineitem.rows', 'lineitem.keys', 'lineitem.duplicates']) AS measure,
+      unnest([CAST(sum(n) AS BIGINT), count(*), count(*) FILTER (WHERE n > 1)]) AS value
+    FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+)
+
+# ---- keyed writes, CSV, streams -------------------------------------------------------------
+
+oracle(
+    "insert_absent_orders",
+    """SELECT order_id, status, CASE WHEN place <= 10000 THEN 'slice' ELSE 'all' END AS loaded_by
+    FROM (SELECT *, row_number() OVER (ORDER BY created_at, CAST(k AS VARCHAR)) AS place FROM rorders)""",
+    "rorders",
+)
+oracle(
+    "upsert_customers",
+    """SELECT CAST(cust AS VARCHAR) AS customer_id, coalesce(upper(event_type), home_region) AS home_region,
+      coalesce(CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE), average_order_amount) AS average_order_amount
+    FROM people FULL JOIN (SELECT user_id AS cust, event_type, value FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) USING (cust)""",
+    "people",
+)
+oracle(
+    "status_mapping",
+    """SELECT o_orderkey AS order_key,
+      ['PAYMENT_PENDING', 'CANCELLED', 'CREATED', 'DELIVERED', 'PAYMENT_PENDING', 'PAYMENT_PENDING',
+        'SHIPPED', 'FAILED', NULL][CAST(o_orderkey % 9 + 1 AS INT)] AS status,
+      CASE WHEN o_orderkey % 9 IN (1, 7) THEN 'DECLINED' ELSE 'AUTHORIZED' END AS payment_status FROM orders""",
+)
+oracle("event_properties", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
+ORACLES["csv_reviews"] = ORACLES["fact_reviews"]
+oracle(
+    "csv_row_counts",
+    """SELECT 'customers' AS table_name, count(*) AS row_count FROM customer
+    UNION ALL SELECT 'geolocation', count(*) FROM customer
+    UNION ALL SELECT 'order_items', count(*) FROM lineitem UNION ALL SELECT 'order_payments', count(*) FROM lineitem
+    UNION ALL SELECT 'order_reviews', count(*) + count(*) FILTER (WHERE k % 10 = 0) FROM mr
+    UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'products', count(*) FROM part
+    UNION ALL SELECT 'sellers', count(*) FROM supplier
+    UNION ALL SELECT 'product_category_name_translation', count(DISTINCT p_type) FROM part WHERE p_type <> 'ECONOMY'""",
+    "mr",
+)
+oracle(
+    "stream_final_state",
+    """SELECT 'customers' AS table_name, customer_id AS record_key, _source_lsn, _kafka_partition, _kafka_offset
+      FROM cust_newest WHERE _cdc_operation <> 'd'
+    UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 2000000 + k, CAST(k % 6 AS INT), k FROM order_codes WHERE error_codes = ''
+    UNION ALL SELECT 'payments', CAST(k AS VARCHAR), 3000000 + k, CAST(k % 6 AS INT), k FROM payment_codes WHERE error_codes = ''
+    UNION ALL SELECT 'chargebacks', 'cb-' || k, 4000000 + k, CAST(k % 6 AS INT), k FROM chargeback_codes WHERE error_codes = ''
+    UNION ALL SELECT 'quarantine', sha256('commerce.commerce.' || entity || '|' || part || '|' || off), 0, CAST(part AS INT), off FROM bad
+    UNION ALL SELECT 'decisions', sha256(k || '|rules-v1'), 0, 0, 0 FROM pay""",
+    "cust_newest", "order_codes", "payment_codes", "chargeback_codes", "bad", "pay",
+)

@@ -312,14 +312,14 @@ class Replay:
     def skipped_payments(self) -> DataFrame:
         return self._tenders().agg(F.count_if(F.col("amount") <= 0).alias("skipped_payments"))
 
-    def tables(self) -> dict[str, tuple[DataFrame, str | None]]:
-        """Every output with its key, in load order. Order items have a two-column key."""
+    def tables(self) -> dict[str, tuple[DataFrame, list[str]]]:
+        """Every output with its key, in load order."""
         return {
-            "customers": (self.customers(), "customer_id"),
-            "sellers": (self.sellers(), "seller_id"),
-            "products": (self.listings(), "product_id"),
-            "inventory": (self.inventory(), "product_id"),
-            "orders": (self.orders(), "order_id"),
-            "order_items": (self.order_items(), None),
-            "payments": (self.payments(), "transaction_id"),
+            "customers": (self.customers(), ["customer_id"]),
+            "sellers": (self.sellers(), ["seller_id"]),
+            "products": (self.listings(), ["product_id"]),
+            "inventory": (self.inventory(), ["product_id"]),
+            "orders": (self.orders(), ["order_id"]),
+            "order_items": (self.order_items(), ["order_id", "product_id"]),
+            "payments": (self.payments(), ["transaction_id"]),
         }

@@ -7,23 +7,30 @@ doubles, dates as ISO text, arrays as comma-separated text, instants as zone-les
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.contracts import CHARGEBACKS, CUSTOMERS, ENTITIES, ORDERS, PAYMENTS
+from riskmart.contracts import CHARGEBACKS, CSV_COLUMNS, CUSTOMERS, ENTITIES, ORDERS, PAYMENTS
+from riskmart.functions.envelope import json_text
+from riskmart.jobs import Lakehouse, curate, decide, ingest
 from riskmart.operators import basket
-from riskmart.operators.merge import merge_actions, merge_changes
+from riskmart.operators.gates import key_measures
+from riskmart.operators.latest import newest_per_key
+from riskmart.operators.merge import insert_absent, merge_actions, merge_changes, upsert
 from riskmart.operators.quality import CODES
 from riskmart.plans import decisions as risk
-from riskmart.plans import gold, market_gold, market_silver, serving
+from riskmart.plans import gold, market_gold, market_silver, serving, verification
 from riskmart.plans import silver_cdc as silver
-from riskmart.plans.replay import Replay
-from riskmart.session import apply_runtime_settings
-from riskmart.sources.change_log import bronze_rows
+from riskmart.plans.replay import ORDER_STATUS, Replay, order_status, payment_status
+from riskmart.session import apply_runtime_settings, shared_folder
+from riskmart.sources.change_log import bronze_rows, log_from_files
+from riskmart.sources.csv_snapshot import read_csv, write_csv
 from riskmart.sources.json_extract import json_ready
 from riskmart.sources.sample_domain import SampleDomain
+from riskmart.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -474,3 +481,141 @@ def basket_match(d: SampleDomain) -> DataFrame:
         F.col("p_partkey").alias("product_key"), F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price")
     )
     return basket.basket_match(customers, catalogue)
+
+
+# ---- gates --------------------------------------------------------------------------------
+
+
+@query
+def gates_summary(d: SampleDomain) -> DataFrame:
+    """All gates over the sample tables: before publishing, after it, and of the extract."""
+    payments, chargebacks = d.payments(), d.chargebacks()
+    decisions = risk.decide(payments, as_of())
+    silver_tables = {
+        "customers": d.customers(), "orders": d.orders(), "payments": payments, "chargebacks": chargebacks,
+    }
+    tables = gold.gold_tables(silver_tables["customers"], silver_tables["orders"], enriched(d), AS_OF)
+    log = bronze_rows(d.payment_changes(with_faults=False), as_of())
+    counts = serving.row_counts({**silver_tables, "decisions": decisions})
+    sections = serving.extract_sections(
+        tables["daily_business_kpis"], tables["daily_fraud_kpis"], tables["seller_performance"],
+        tables["customer_360"], serving.refresh_summary(counts, AS_OF),
+    )
+    return verification.all_gates(
+        verification.pre_publish_gates(payments, decisions, chargebacks),
+        verification.published_gates(risk.new_payments(log), decisions, silver_tables, tables),
+        verification.extract_gates(sections, counts),
+    )
+
+
+@query
+def unmatched_chargebacks(d: SampleDomain) -> DataFrame:
+    return verification.unmatched_chargebacks(d.disputes(), d.payments())
+
+
+@query
+def duplicate_keys(d: SampleDomain) -> DataFrame:
+    """Line numbers repeat within orders of the sample, so this gate has work to do."""
+    return key_measures(d.table("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])
+
+
+# ---- keyed writes, CSV, streams ---------------------------------------------------------------
+
+
+@query
+def insert_absent_orders(d: SampleDomain) -> DataFrame:
+    """A slice of the history is loaded, then all of it: orders of the slice stay as loaded."""
+
+    def keyed(limit: int, label: str) -> DataFrame:
+        return replay(d, limit).orders().select("order_id", "status", F.lit(label).alias("loaded_by"))
+
+    return insert_absent(keyed(10_000, "slice"), keyed(0, "all"), ["order_id"])
+
+
+@query
+def upsert_customers(d: SampleDomain) -> DataFrame:
+    """Average order amounts refreshed from each customer's latest event value."""
+    current = d.customers().select("customer_id", "home_region", "average_order_amount")
+    event_value = F.struct(F.col("value").cast("decimal(12,2)").alias("v"), "event_type")
+    latest = newest_per_key(
+        d.table("events").select("user_id", "ts", "event_id", event_value.alias("event")),
+        ["user_id"],
+        [F.col("ts"), F.col("event_id")],
+    )
+    refreshed = latest.select(
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.upper("event.event_type").alias("home_region"),
+        F.col("event.v").alias("average_order_amount"),
+    )
+    return upsert(current, refreshed, ["customer_id"])
+
+
+@query
+def status_mapping(d: SampleDomain) -> DataFrame:
+    """Order and payment status of every known source status, in odd spellings, and of an unknown one."""
+    known = [*ORDER_STATUS, "lost"]
+    source = F.element_at(
+        F.array(*(F.lit(f" {s.upper()} ") for s in known)), (F.col("o_orderkey") % len(known) + 1).cast("int")
+    )
+    return d.table("orders").select(
+        F.col("o_orderkey").alias("order_key"),
+        order_status(source).alias("status"),
+        payment_status(source).alias("payment_status"),
+    )
+
+
+@query
+def event_properties(d: SampleDomain) -> DataFrame:
+    return d.table("events").select(
+        "event_id", json_text("props", "$.payload.k", "$.k").try_cast("int").alias("k")
+    )
+
+
+def csv_copy(d: SampleDomain, tables: list[str]) -> dict[str, DataFrame]:
+    folder = shared_folder(d.spark, "csv")
+    for table in tables:
+        write_csv(d.market(table), table, f"{folder}/{table}")
+    return {table: read_csv(d.spark, table, f"{folder}/{table}", as_of()) for table in tables}
+
+
+@query
+def csv_reviews(d: SampleDomain) -> DataFrame:
+    """Free text with quotes and line breaks survives the way through CSV."""
+    return market_silver.fact_reviews(csv_copy(d, ["order_reviews"])["order_reviews"])
+
+
+@query
+def csv_row_counts(d: SampleDomain) -> DataFrame:
+    """All nine files, strictly read, with the file each row came from."""
+    raw = csv_copy(d, list(CSV_COLUMNS))
+    return serving.row_counts({t: f.filter(F.col("_source_file").isNotNull()) for t, f in raw.items()})
+
+
+@query
+def stream_final_state(d: SampleDomain) -> DataFrame:
+    """Everything the three streams leave behind for the whole change log: current rows,
+    quarantined records and decisions. Runs the streams until the log is used up."""
+    folder = shared_folder(d.spark, "streams")
+    d.change_stream().write.parquet(f"{folder}/log")
+    lake = Lakehouse(d.spark, folder)
+    ingest(lake, log_from_files(d.spark, f"{folder}/log"), drain=True).awaitTermination()
+    for start in (curate, decide):
+        start(lake, drain=True).awaitTermination()
+    state = [
+        lake.silver.read(e.name).select(
+            F.lit(e.name).alias("table_name"), F.col(e.key).alias("record_key"),
+            "_source_lsn", "_kafka_partition", "_kafka_offset",
+        )
+        for e in ENTITIES
+    ]
+    quarantine = lake.silver.read(pipeline.QUARANTINE).select(
+        F.lit("quarantine").alias("table_name"), F.col("quarantine_id").alias("record_key"),
+        F.lit(0).cast("bigint").alias("_source_lsn"),
+        F.col("kafka_partition").alias("_kafka_partition"), F.col("kafka_offset").alias("_kafka_offset"),
+    )
+    decisions = lake.decisions.read(pipeline.DECISIONS).select(
+        F.lit("decisions").alias("table_name"), F.col("decision_id").alias("record_key"),
+        F.lit(0).cast("bigint").alias("_source_lsn"),
+        F.lit(0).alias("_kafka_partition"), F.lit(0).cast("bigint").alias("_kafka_offset"),
+    )
+    return reduce(DataFrame.unionByName, [*state, quarantine, decisions])

@@ -129,6 +129,14 @@ class SampleDomain:
             reported.alias("created_at"),
         )
 
+    def disputes(self) -> DataFrame:
+        """Disputes as reported, also for orders that were never paid."""
+        key = F.col("o_orderkey")
+        return self.table("orders").filter(key % 11 == 0).select(
+            F.concat(F.lit("cb-"), key.cast("string")).alias("chargeback_id"),
+            key.cast("string").alias("transaction_id"),
+        )
+
     # ---- change stream -----------------------------------------------------
 
     def customer_changes(self) -> DataFrame:
@@ -389,7 +397,7 @@ class SampleDomain:
             F.when(key % 4 == 0, "  ").otherwise(F.concat(F.lit("title "), key.cast("string"))).alias("review_comment_title"),
             F.concat(F.lit('said "fine", then\nleft '), (key % 9).cast("string")).alias("review_comment_message"),
             F.date_format(written, "yyyy-MM-dd HH:mm:ss").alias("review_creation_date"),
-            F.date_format(written + F.make_dt_interval(days=F.lit(1)), "yyyy-MM-dd HH:mm:ss").alias("review_answer_timestamp"),
+            F.date_format(written + F.make_dt_interval(hours=version + 23), "yyyy-MM-dd HH:mm:ss").alias("review_answer_timestamp"),
             ingested.alias("_ingested_at"),
         )
 
