@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,3 +69,14 @@ def mean_half_even(total: Column, count: Column) -> Column:
     twice_rest = (micros - cents * step) * 2
     up = (twice_rest > step) | ((twice_rest == step) & (cents % 2 != 0))
     return ((cents + F.when(up, 1).otherwise(0)).cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+
+
+def fired_codes(tests: Iterable[tuple[str, str]]) -> Column:
+    """Array of the codes whose condition (Spark SQL) is true, in the given order.
+
+    Codes are joined as text and split again. Filtering NULLs out of an array takes a
+    lambda, and Spark interprets lambdas and everything below them; this form stays in
+    generated code. Codes contain no comma.
+    """
+    text = F.concat_ws(",", *(F.expr(f"CASE WHEN {test} THEN '{code}' END") for code, test in tests))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))

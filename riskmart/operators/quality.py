@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.contracts import Entity
+from riskmart.functions.values import fired_codes
 
 CODES = "_quality_errors"
 UPSERT = "_cdc_operation IN ('c', 'u', 'r')"
@@ -28,9 +29,7 @@ def violations(entity: Entity) -> list[tuple[str, str]]:
 
 def quality_codes(entity: Entity) -> Column:
     """Never NULL; an empty array means the row is clean."""
-    return F.array_compact(
-        F.array(*(F.when(F.expr(test), F.lit(code)) for code, test in violations(entity)))
-    )
+    return fired_codes(violations(entity))
 
 
 def clean(rows: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskmart.functions.values import fired_codes
+
 
 @dataclass(frozen=True)
 class RiskRule:
@@ -48,13 +48,11 @@ LABEL_STATUS = "HEURISTIC_PROXY_NOT_CONFIRMED_FRAUD"
 
 
 def reasons(rules: Sequence[RiskRule]) -> Column:
-    fired = (F.when(F.expr(rule.condition), F.lit(rule.code)) for rule in rules)
-    return F.array_compact(F.array(*fired))
+    return fired_codes((rule.code, rule.condition) for rule in rules)
 
 
 def points(rules: Sequence[RiskRule]) -> Column:
-    earned = (F.when(F.expr(rule.condition), rule.points).otherwise(0) for rule in rules)
-    return reduce(add, earned)
+    return F.expr(" + ".join(f"CASE WHEN {r.condition} THEN {r.points} ELSE 0 END" for r in rules))
 
 
 def graded(score: Column, floors: dict[str, int]) -> Column:

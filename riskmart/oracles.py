@@ -80,7 +80,7 @@ part(
       o_orderkey % 1000 AS account_age_days,
       o_orderkey % 6 AS login_failures, 1 + o_orderkey % 5 AS attempt_number,
       CAST(greatest(c_acctbal, 0) * 25 AS DECIMAL(12,2)) AS customer_average_amount,
-      o_orderkey % 11 = 0 AS disputed
+      o_orderkey % 11 = 0 AS disputed, TIMESTAMP '2024-02-01' + to_seconds(o_orderkey) AS captured
     FROM orders JOIN first_line ON l_orderkey = o_orderkey
     JOIN customer ON c_custkey = o_custkey JOIN nat cn ON cn.n_nationkey = c_nationkey
     JOIN supplier ON s_suppkey = l_suppkey JOIN nat sn ON sn.n_nationkey = s_nationkey""",
@@ -111,7 +111,7 @@ oracle(
     "payment_decisions",
     f"""SELECT sha256(k || '|rules-v1') AS decision_id, CAST(k AS VARCHAR) AS transaction_id,
       CAST(cust AS VARCHAR) AS customer_id, risk_score, action, reason_codes,
-      'rules-v1' AS rules_version, {AS_OF} AS decision_time, event_time AS kafka_timestamp FROM dec""",
+      'rules-v1' AS rules_version, {AS_OF} AS decision_time, captured AS kafka_timestamp FROM dec""",
     "dec",
 )
 oracle("action_counts", "SELECT action, count(*) AS count FROM dec GROUP BY action", "dec")
@@ -252,14 +252,14 @@ part(
 oracle("cdc_quality_customers", "SELECT _kafka_partition, _kafka_offset, error_codes FROM cust_codes", "cust_codes")
 part(
     "order_codes",
-    """SELECT o_orderkey AS k, o_orderdate AS ts, concat_ws(',',
+    """SELECT o_orderkey AS k, TIMESTAMP '2024-02-01' + to_seconds(o_orderkey) AS ts, concat_ws(',',
       CASE WHEN o_orderkey % 227 = 0 THEN 'EMPTY_SHIPPING_REGION' END,
       CASE WHEN o_orderkey % 211 = 0 THEN 'NEGATIVE_ORDER_AMOUNT' END,
       CASE WHEN o_orderkey % 223 = 0 THEN 'INVALID_ORDER_STATUS' END) AS error_codes FROM orders""",
 )
 part(
     "payment_codes",
-    """SELECT k, event_time AS ts, concat_ws(',', CASE WHEN k % 263 = 0 THEN 'EMPTY_CURRENCY' END,
+    """SELECT k, captured AS ts, concat_ws(',', CASE WHEN k % 263 = 0 THEN 'EMPTY_CURRENCY' END,
       CASE WHEN k % 229 = 0 THEN 'NON_POSITIVE_PAYMENT_AMOUNT' END,
       CASE WHEN k % 233 = 0 THEN 'NEGATIVE_ACCOUNT_AGE' END,
       CASE WHEN k % 239 = 0 THEN 'NEGATIVE_LOGIN_FAILURES' END,
@@ -270,7 +270,7 @@ part(
 )
 part(
     "chargeback_codes",
-    """SELECT k, event_time + INTERVAL 30 DAY AS ts,
+    """SELECT k, captured AS ts,
       CASE WHEN k % 13 = 0 THEN 'EMPTY_REASON' ELSE '' END AS error_codes FROM pay WHERE disputed""",
     "pay",
 )
@@ -294,7 +294,7 @@ oracle(
       CASE WHEN k % 251 = 0 THEN -1 ELSE CAST(customer_average_amount AS DOUBLE) END AS customer_average_amount,
       CASE WHEN k % 257 = 0 THEN 'LOST' ELSE 'AUTHORIZED' END AS status, event_time AS created_at,
       'c' AS _cdc_operation, 3000000 + k AS _source_lsn, CAST(k % 6 AS INT) AS _kafka_partition,
-      k AS _kafka_offset, event_time AS _kafka_timestamp FROM pay""",
+      k AS _kafka_offset, captured AS _kafka_timestamp FROM pay""",
     "pay",
 )
 part(
@@ -316,9 +316,10 @@ part(
     "log",
     """SELECT 'customers' AS entity, CAST(part AS INT) AS part, off, ts, key,
       NOT gone AS has_payload FROM cust_log
-    UNION ALL SELECT 'orders', o_orderkey % 6, o_orderkey, o_orderdate, CAST(o_orderkey AS VARCHAR), true FROM orders
-    UNION ALL SELECT 'payments', k % 6, k, event_time, CAST(k AS VARCHAR), true FROM pay
-    UNION ALL SELECT 'chargebacks', k % 6, k, event_time + INTERVAL 30 DAY, CAST(k AS VARCHAR), true
+    UNION ALL SELECT 'orders', o_orderkey % 6, o_orderkey, TIMESTAMP '2024-02-01' + to_seconds(o_orderkey),
+      CAST(o_orderkey AS VARCHAR), true FROM orders
+    UNION ALL SELECT 'payments', k % 6, k, captured, CAST(k AS VARCHAR), true FROM pay
+    UNION ALL SELECT 'chargebacks', k % 6, k, captured, CAST(k AS VARCHAR), true
       FROM pay WHERE disputed""",
     "cust_log", "pay",
 )

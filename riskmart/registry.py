@@ -271,32 +271,35 @@ def source_row_counts(d: SampleDomain) -> DataFrame:
 # ---- marketplace dimensions and facts -----------------------------------------------
 
 
-def market_facts(d: SampleDomain) -> dict[str, DataFrame]:
-    return {
-        "dim_customers": market_silver.dim_customers(d.market("customers")),
-        "dim_sellers": market_silver.dim_sellers(d.market("sellers")),
-        "dim_products": market_silver.dim_products(
-            d.market("products"), d.market("product_category_name_translation")
-        ),
-        "dim_geolocation_zip": market_silver.dim_geolocation_zip(d.market("geolocation")),
-        "fact_orders": market_silver.fact_orders(d.market("orders")),
-        "fact_order_items": market_silver.fact_order_items(d.market("order_items")),
-        "fact_payments": market_silver.fact_payments(d.market("order_payments")),
-        "fact_reviews": market_silver.fact_reviews(d.market("order_reviews")),
-    }
+MARKET_FACTS: dict[str, Callable[[SampleDomain], DataFrame]] = {
+    "dim_customers": lambda d: market_silver.dim_customers(d.market("customers")),
+    "dim_sellers": lambda d: market_silver.dim_sellers(d.market("sellers")),
+    "dim_products": lambda d: market_silver.dim_products(
+        d.market("products"), d.market("product_category_name_translation")
+    ),
+    "dim_geolocation_zip": lambda d: market_silver.dim_geolocation_zip(d.market("geolocation")),
+    "fact_orders": lambda d: market_silver.fact_orders(d.market("orders")),
+    "fact_order_items": lambda d: market_silver.fact_order_items(d.market("order_items")),
+    "fact_payments": lambda d: market_silver.fact_payments(d.market("order_payments")),
+    "fact_reviews": lambda d: market_silver.fact_reviews(d.market("order_reviews")),
+}
+
+
+def facts(d: SampleDomain, *names: str) -> list[DataFrame]:
+    return [MARKET_FACTS[name](d) for name in names]
 
 
 def _register_fact(name: str) -> None:
     def build(d: SampleDomain) -> DataFrame:
-        return market_facts(d)[name]
+        return MARKET_FACTS[name](d)
 
     build.__name__ = name
     query(build)
 
 
-for _name in ("dim_customers", "dim_sellers", "dim_products", "fact_orders", "fact_order_items",
-              "fact_payments", "fact_reviews"):
-    _register_fact(_name)
+for _name in MARKET_FACTS:
+    if _name != "dim_geolocation_zip":
+        _register_fact(_name)
 
 
 def _rounded_place(frame: DataFrame) -> DataFrame:
@@ -316,42 +319,37 @@ def dim_geolocation_zip(d: SampleDomain) -> DataFrame:
 
 @query
 def market_layer_row_counts(d: SampleDomain) -> DataFrame:
-    return serving.row_counts(market_facts(d))
+    return serving.row_counts({name: build(d) for name, build in MARKET_FACTS.items()})
 
 
 # ---- marketplace gold ------------------------------------------------------------------
 
 
 def market_daily(d: SampleDomain) -> DataFrame:
-    t = market_facts(d)
-    return market_gold.daily_commerce_kpis(t["fact_orders"], t["dim_customers"], t["fact_payments"])
+    return market_gold.daily_commerce_kpis(*facts(d, "fact_orders", "dim_customers", "fact_payments"))
 
 
 def market_people(d: SampleDomain) -> DataFrame:
-    t = market_facts(d)
-    return market_gold.customer_360(t["fact_orders"], t["dim_customers"], t["fact_payments"])
+    return market_gold.customer_360(*facts(d, "fact_orders", "dim_customers", "fact_payments"))
 
 
 def market_delivery(d: SampleDomain) -> DataFrame:
-    t = market_facts(d)
-    return market_gold.delivery_performance(t["fact_orders"], t["dim_customers"])
+    return market_gold.delivery_performance(*facts(d, "fact_orders", "dim_customers"))
 
 
 def market_sellers(d: SampleDomain) -> DataFrame:
-    t = market_facts(d)
-    return market_gold.seller_performance(t["dim_sellers"], t["fact_order_items"], t["fact_reviews"])
+    return market_gold.seller_performance(*facts(d, "dim_sellers", "fact_order_items", "fact_reviews"))
 
 
 def market_signals(d: SampleDomain) -> DataFrame:
-    t = market_facts(d)
     return market_gold.payment_risk_signals(
-        t["fact_orders"], t["dim_customers"], t["fact_payments"], t["fact_reviews"]
+        *facts(d, "fact_orders", "dim_customers", "fact_payments", "fact_reviews")
     )
 
 
 @query
 def order_payment_totals(d: SampleDomain) -> DataFrame:
-    return market_gold.order_payment_totals(market_facts(d)["fact_payments"])
+    return market_gold.order_payment_totals(*facts(d, "fact_payments"))
 
 
 @query

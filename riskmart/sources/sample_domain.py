@@ -8,26 +8,59 @@ a review); it decides values, not which rows are worked on.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskmart.contracts import CHARGEBACKS, CUSTOMERS, ORDERS, PAYMENTS, Entity
 
 DECIMAL = "decimal(12,2)"
 
 
+# Schemas by path, so that a table opened again needs no look at its footers.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build a frame once per domain; asking again returns the same plan."""
+
+    @wraps(build)
+    def cached(self: SampleDomain, *args) -> DataFrame:
+        key = (build.__name__, *args)
+        if key not in self._frames:
+            self._frames[key] = build(self, *args)
+        return self._frames[key]
+
+    return cached
+
+
 class SampleDomain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[tuple, DataFrame] = {}
 
+    @_once
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+    def _spread(self, name: str, key: str) -> DataFrame:
+        """A table over all cores when it has fewer files than that, else as it is.
+
+        Writing JSON for each row is costly, and one small file means one task.
+        """
+        frame, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return frame.repartition(cores, key) if len(frame.inputFiles()) < cores else frame
 
     # ---- operational tables ------------------------------------------------
 
+    @_once
     def _nations(self) -> DataFrame:
         nation = self.table("nation")
         region = self.table("region")
@@ -35,6 +68,7 @@ class SampleDomain:
             "n_nationkey", "n_name", "r_name"
         )
 
+    @_once
     def _customer_regions(self) -> DataFrame:
         nations = self._nations()
         customer = self.table("customer")
@@ -42,6 +76,7 @@ class SampleDomain:
             "c_custkey", "c_acctbal", F.col("r_name").alias("home_region")
         )
 
+    @_once
     def payments(self) -> DataFrame:
         """One payment per order that has lines; the seller of its first line gets it."""
         first_line = (
@@ -90,6 +125,7 @@ class SampleDomain:
             event_time.alias("kafka_timestamp"),
         )
 
+    @_once
     def customers(self) -> DataFrame:
         spending = self.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
             F.avg(F.col("o_totalprice").cast(DECIMAL)).cast(DECIMAL).alias("average_order_amount"),
@@ -106,6 +142,7 @@ class SampleDomain:
             )
         )
 
+    @_once
     def orders(self) -> DataFrame:
         status = F.col("o_orderstatus")
         return self.table("orders").select(
@@ -118,6 +155,7 @@ class SampleDomain:
             F.col("o_orderdate").cast("timestamp").alias("updated_at"),
         )
 
+    @_once
     def chargebacks(self) -> DataFrame:
         """One payment in eleven is disputed, thirty days later."""
         reported = F.col("event_time") + F.expr("INTERVAL 30 DAYS")
@@ -142,7 +180,7 @@ class SampleDomain:
     def customer_changes(self) -> DataFrame:
         """Snapshot of all customers, then one change per event, some of them bad."""
         customer_key = F.col("c_custkey")
-        snapshot = self.table("customer").select(
+        snapshot = self._spread("customer", "c_custkey").select(
             customer_key.cast("string").alias("record_key"),
             F.lit("r").alias("op"),
             F.lit(1).cast("bigint").alias("lsn"),
@@ -166,7 +204,7 @@ class SampleDomain:
             .when(event % 109 == 0, "not-a-number")
             .otherwise(F.col("value").cast(DECIMAL).cast("string"))
         )
-        changes = self.table("events").select(
+        changes = self._spread("events", "event_id").select(
             F.when(event % 101 != 0, user.cast("string")).alias("record_key"),
             kind.alias("op"),
             (F.lit(1_000_000) + F.call_function("div", event, F.lit(3))).alias("lsn"),
@@ -193,7 +231,7 @@ class SampleDomain:
 
     def order_changes(self) -> DataFrame:
         key = F.col("order_id").cast("bigint")
-        rows = self._inserts(self.orders(), key, F.col("created_at"), lsn_base=2_000_000)
+        rows = self._inserts(self.orders(), key, lsn_base=2_000_000)
         image = {
             "order_id": F.col("order_id"),
             "customer_id": F.col("customer_id"),
@@ -208,7 +246,7 @@ class SampleDomain:
     def payment_changes(self, with_faults: bool = True) -> DataFrame:
         payments = self.payments()
         key = F.col("transaction_id").cast("bigint")
-        rows = self._inserts(payments, key, F.col("event_time"), lsn_base=3_000_000)
+        rows = self._inserts(payments, key, lsn_base=3_000_000)
         image = {name: F.col(name) for name in PAYMENTS.fields}
         for name in ("amount", "customer_average_amount"):
             image[name] = F.col(name).cast("string")
@@ -226,7 +264,7 @@ class SampleDomain:
 
     def chargeback_changes(self) -> DataFrame:
         key = F.col("transaction_id").cast("bigint")
-        rows = self._inserts(self.chargebacks(), key, F.col("reported_at"), lsn_base=4_000_000)
+        rows = self._inserts(self.chargebacks(), key, lsn_base=4_000_000)
         image = {name: F.col(name) for name in CHARGEBACKS.fields}
         image["reason"] = F.when(key % 13 == 0, F.lit("")).otherwise(F.col("reason"))
         for name in ("reported_at", "created_at"):
@@ -242,7 +280,9 @@ class SampleDomain:
         return reduce(DataFrame.unionByName, parts)
 
     @staticmethod
-    def _inserts(rows: DataFrame, key: Column, moment: Column, lsn_base: int) -> DataFrame:
+    def _inserts(rows: DataFrame, key: Column, lsn_base: int) -> DataFrame:
+        """History captured as one order per second, so log times are not event times."""
+        captured = F.timestamp_seconds(F.unix_seconds(F.lit("2024-02-01 00:00:00").cast("timestamp")) + key)
         return rows.withColumns(
             {
                 "record_key": key.cast("string"),
@@ -250,7 +290,7 @@ class SampleDomain:
                 "lsn": F.lit(lsn_base) + key,
                 "partition": (key % 6).cast("int"),
                 "offset": key,
-                "timestamp": moment,
+                "timestamp": captured,
                 "tombstone": F.lit(False),
                 "wrapped": key % 2 == 0,
             }
@@ -258,6 +298,7 @@ class SampleDomain:
 
     # ---- marketplace files, all text ----------------------------------------
 
+    @_once
     def market(self, name: str) -> DataFrame:
         return getattr(self, f"_market_{name}")()
 
@@ -338,6 +379,7 @@ class SampleDomain:
             later(F.lit(12)).alias("order_estimated_delivery_date"),
         )
 
+    @_once
     def _numbered_lines(self) -> DataFrame:
         """Lines with their place within the order; line numbers repeat in the source.
 
