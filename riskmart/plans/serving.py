@@ -146,11 +146,11 @@ def headline_kpis(business: DataFrame, fraud: DataFrame, sellers: DataFrame, cus
     )
     people = customers.agg(F.count(F.lit(1)).alias("current_customers"))
     active = sellers.agg(F.count(F.lit(1)).alias("active_sellers"))
-    # Four one-row results side by side, matched on a constant key.
-    joined = reduce(
-        lambda left, right: left.join(right, "_one"),
-        (frame.withColumn("_one", F.lit(1)) for frame in (sums, risk, people, active)),
-    ).drop("_one")
+    # Four one-row results, stacked and folded into one row.
+    stacked = reduce(
+        lambda upper, lower: upper.unionByName(lower, allowMissingColumns=True), (sums, risk, people, active)
+    )
+    joined = stacked.agg(*(F.max(name).alias(name) for name in stacked.columns))
     flagged = F.col("review_count") + F.col("declined_count")
     return joined.withColumns(
         {

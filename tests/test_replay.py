@@ -29,7 +29,7 @@ def test_entity_uuid_namespace(spark):
     assert own != one.select(entity_uuid("seller", F.lit("s1"), DEFAULT_NAMESPACE)).first()[0]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 10**12), st.integers(1, 50)), min_size=50, max_size=50))
 def test_mean_half_even(spark, pairs):
     rows = [(i, Decimal(cents) / 100, n) for i, (cents, n) in enumerate(pairs)]
@@ -150,7 +150,7 @@ def test_slice(history, spark):
         order_slice(spark.range(1), -1)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.integers(1, 400_000), min_size=1, max_size=30),
     st.lists(st.integers(0, 900_000), min_size=1, max_size=30),
