@@ -25,12 +25,16 @@ def _envelope_ddl(fields: Iterable[str]) -> str:
 def open_envelope(records: DataFrame, fields: Iterable[str], text: str = "raw_payload") -> DataFrame:
     """Add the parsed envelope.
 
-    The one-element explode keeps the parser below every later filter. As a plain
-    projection Catalyst would copy ``from_json`` into each pushed-down predicate
-    and parse the same text once per mention.
+    As a plain projection Catalyst would copy ``from_json`` into each pushed-down
+    predicate and parse the same text once per mention.
     """
-    parsed = F.from_json(text, _envelope_ddl(fields))
-    return records.withColumn(ENVELOPE, F.explode(F.array(parsed)))
+    return records.withColumn(ENVELOPE, computed_once(F.from_json(text, _envelope_ddl(fields))))
+
+
+def computed_once(value: Column) -> Column:
+    """A one-element explode. Filters and projections above it refer to its result;
+    they cannot be merged with it, so the value is computed once per row."""
+    return F.explode(F.array(value))
 
 
 def _first(*paths: str) -> Column:

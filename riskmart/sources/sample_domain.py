@@ -50,10 +50,12 @@ class SampleDomain:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
+    @_once
     def _spread(self, name: str, key: str) -> DataFrame:
         """A table over all cores when it has fewer files than that, else as it is.
 
-        Writing JSON for each row is costly, and one small file means one task.
+        Building JSON or date text for each row is costly, and one small file means one
+        task. Inputs of many files are left alone: no shuffle is added to them.
         """
         frame, cores = self.table(name), self.spark.sparkContext.defaultParallelism
         return frame.repartition(cores, key) if len(frame.inputFiles()) < cores else frame
@@ -98,7 +100,7 @@ class SampleDomain:
         text_key = key.cast("string")
         event_time = F.col("o_orderdate").cast("timestamp")
         joined = (
-            self.table("orders")
+            self._spread("orders", "o_orderkey")
             .join(first_line, "o_orderkey")
             .withColumnRenamed("o_custkey", "c_custkey")
             .join(self._customer_regions(), "c_custkey")
@@ -148,7 +150,7 @@ class SampleDomain:
     @_once
     def orders(self) -> DataFrame:
         status = F.col("o_orderstatus")
-        return self.table("orders").select(
+        return self._spread("orders", "o_orderkey").select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             F.when(status == "F", "FAILED").when(status == "O", "CREATED").otherwise("PAID").alias("status"),
@@ -371,7 +373,7 @@ class SampleDomain:
             step = F.make_dt_interval(days=days.cast("int"), hours=(hours if hours is not None else F.lit(0)).cast("int"))
             return text(bought + step)
 
-        return self.table("orders").select(
+        return self._spread("orders", "o_orderkey").select(
             key.cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             F.when(status == "F", "Canceled").when(status == "O", " shipped").otherwise("delivered").alias("order_status"),
