@@ -1 +1,8 @@
 """Operators for training-data pipelines: filtering, deduplication, packing and sharding."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to executors by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

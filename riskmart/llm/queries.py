@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import table
 from riskmart.llm.kd_shards import kd_shards, numbered
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
+from riskmart.llm.phrase_automata import remove_repeated_passages
+from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.sql import LINE_WINDOWS_SQL
 
 
@@ -32,10 +34,36 @@ def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _covered(spans: str) -> Column:
+    widths = F.transform(spans, lambda s: (s["end"] - s["start"]).cast("long"))
+    return F.aggregate(widths, F.lit(0).cast("long"), lambda total, x: total + x)
+
+
+def suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        _covered("spans").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        _covered("spans").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op3_line_windows": line_windows,
     "op4_kd_sharding": kd_sharding,
+    "op7_suffix_ranks": suffix_ranks,
+    "op8_phrase_automata": phrase_automata,
 }
 
 ORACLES = {
