@@ -11,9 +11,17 @@ from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
 from riskmart.llm.phrase_automata import remove_repeated_passages
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
+from riskmart.llm.window_packing import pack_windows
 from riskmart.llm.sql import LINE_WINDOWS_SQL
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The installed vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -58,8 +66,13 @@ def phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_windows(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
+    "op2_window_packing": window_packing,
     "op3_line_windows": line_windows,
     "op4_kd_sharding": kd_sharding,
     "op7_suffix_ranks": suffix_ranks,
