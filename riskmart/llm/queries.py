@@ -9,6 +9,7 @@ from riskmart.llm.common import table
 from riskmart.llm.kd_shards import kd_shards, numbered
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
+from riskmart.llm.lsh_forest import near_duplicates
 from riskmart.llm.phrase_automata import remove_repeated_passages
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.window_packing import pack_windows
@@ -70,6 +71,10 @@ def window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_windows(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
@@ -77,6 +82,7 @@ QUERIES = {
     "op4_kd_sharding": kd_sharding,
     "op7_suffix_ranks": suffix_ranks,
     "op8_phrase_automata": phrase_automata,
+    "op9_lsh_forest": lsh_forest,
 }
 
 ORACLES = {
