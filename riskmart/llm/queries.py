@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import table
+from riskmart.llm.decontamination import contaminations
 from riskmart.llm.kd_shards import kd_shards, numbered
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
@@ -75,6 +76,12 @@ def lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "passages", "question_percent", "answer_percent"
+    )
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
@@ -83,6 +90,7 @@ QUERIES = {
     "op7_suffix_ranks": suffix_ranks,
     "op8_phrase_automata": phrase_automata,
     "op9_lsh_forest": lsh_forest,
+    "op10_decontamination": decontamination,
 }
 
 ORACLES = {
