@@ -29,7 +29,10 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for NULL and for blank texts."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK_RUN), lambda w: w != "")
+    plain = F.coalesce(text, F.lit(""))
+    for blank in BLANKS[1:]:
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def text_key(text: Column) -> Column:

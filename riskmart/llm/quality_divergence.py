@@ -19,16 +19,16 @@ alike; extra columns pass through.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import BLANKS, words
+from riskmart.llm.common import BLANK_RUN, stored, words
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 32
+#: Bits of a number that hold the place of a window in its text.
+PLACE_BITS = 24
 LANGUAGE_SHARE = 0.005
 
 #: Character classes; what no class has counts as ``other``.
@@ -37,55 +37,105 @@ CHAR_LIMIT, CHAR_NOISE = 0.2, 0.8
 WORD_LIMIT, WORD_NOISE = 0.16, 2.2
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+#: What is left of a text after each step; each step works on what the one before left.
+#: Lower-case letters go first, as they are most of a text.
+STEPS = (
+    ("lower", r"\p{Ll}++"),
+    ("blank", r"[\x20\x09-\x0D]++"),
+    ("upper", r"\p{Lu}++"),
+    ("digit", r"[0-9]++"),
+    ("stop", r"[.,;:!?'\"()\-]++"),
+    ("symbol", r"[#*$%&|<>@^~_=+/\\{}\[\]`]++"),
+)
+
+
+def classified(docs: DataFrame, text: str) -> DataFrame:
+    """Adds ``chars``, the counts of CLASSES in the column ``text``, and ``n_symbols``."""
+    before, out, names = text, docs, []
+    for name, pattern in STEPS:
+        out = out.withColumn(f"_no_{name}", F.regexp_replace(before, F.lit(pattern), F.lit("")))
+        names.append((name, before, f"_no_{name}"))
+        before = f"_no_{name}"
+    counts = {name: F.length(a) - F.length(b) for name, a, b in names} | {"other": F.length(before)}
+    marked = F.col("_no_blank")
+    for symbol in SYMBOLS:
+        marked = F.replace(marked, F.lit(symbol), F.lit(""))
+    return out.withColumn("chars", F.array(*[counts[c].cast("long") for c in CLASSES])).withColumn(
+        "n_symbols", (F.length("_no_blank") - F.length(marked)).cast("long")
+    ).drop(*[b for _, _, b in names])
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _neighbour_is_equal(values: str, part) -> Column:
+    """Elements of a sorted array whose neighbour agrees in ``part``."""
+    return F.filter(
+        values,
+        lambda x, j: (part(x) == part(F.get(values, j + 1)))
+        | ((j > 0) & (part(x) == part(F.get(values, F.greatest(j - 1, F.lit(0)))))),
+    )
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` in ``row``, the words and the base measures."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        words(F.col("text")).alias("words"),
+    """All columns of ``docs`` in ``row``, words, character classes and the base measures.
+
+    Three-word windows that occur twice are found in sorted arrays: first by 40 bits of
+    their hash, packed with their place into one number, then, for the few that are left,
+    by the whole hash.
+    """
+    split = classified(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+            F.coalesce(F.col("text"), F.lit("")).alias("body"),
+        ),
+        "body",
+    ).select(
+        "*",
+        words(F.col("body")).alias("words"),
         F.filter(
-            F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANKS, "")) > 0
+            F.split("body", "\n"), lambda line: F.length(F.regexp_replace(line, BLANK_RUN, "")) > 0
         ).alias("lines"),
     )
-    text = F.coalesce(F.col("row.text"), F.lit(""))
-    windows = F.transform(
-        "words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))
-    )
     hashed = split.select(
         "row",
-        "words",
+        "body",
+        "chars",
+        "n_symbols",
         F.size("words").cast("long").alias("n_words"),
-        (F.length(text) - _without(text, BLANKS)).cast("long").alias("word_chars"),
-        _without(text, SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.array_sort(
+        F.slice(
             F.transform(
-                F.slice(windows, F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))),
-                lambda h, i: F.struct(h.alias("h"), i.alias("i")),
-            )
-        ).alias("sorted"),
+                "words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))
+            ),
+            F.lit(1),
+            F.greatest(F.size("words") - 2, F.lit(0)),
+        ).alias("hashes"),
     )
-    repeated = hashed.withColumn(
-        "starts",
-        F.array_sort(
+    packed = hashed.withColumn(
+        "sorted",
+        F.sort_array(
             F.transform(
-                F.filter(
-                    "sorted",
-                    lambda x, j: (x["h"] == F.get("sorted", j + 1)["h"])
-                    | ((j > 0) & (x["h"] == F.get("sorted", F.greatest(j - 1, F.lit(0)))["h"])),
-                ),
-                lambda x: x["i"],
+                "hashes",
+                lambda h, i: F.shiftleft(F.shiftrightunsigned(h, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long")),
             )
         ),
     )
+    alike = packed.withColumn(
+        "alike",
+        F.transform(
+            _neighbour_is_equal("sorted", lambda x: F.shiftrightunsigned(x, PLACE_BITS)),
+            lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"),
+        ),
+    )
+    exact = alike.withColumn(
+        "exact",
+        F.sort_array(
+            F.transform("alike", lambda i: F.struct(F.get("hashes", i).alias("h"), i.alias("i")))
+        ),
+    )
+    repeated = exact.withColumn(
+        "starts",
+        F.sort_array(F.transform(_neighbour_is_equal("exact", lambda x: x["h"]), lambda x: x["i"])),
+    )
     covered = F.aggregate(
         F.transform(
             "starts",
@@ -94,28 +144,13 @@ def measured(docs: DataFrame) -> DataFrame:
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
-    return repeated.withColumn("n_repeat_words", covered).drop("sorted", "starts")
+    return repeated.withColumn("n_repeat_words", covered).drop("hashes", "sorted", "alike", "exact", "starts")
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def class_counts(text: Column) -> list[Column]:
-    """One long column per character class, in the order of CLASSES."""
-    counted = {
-        "lower": _count(text, r"\p{Ll}"),
-        "upper": _count(text, r"\p{Lu}"),
-        "digit": _without(text, "0123456789"),
-        "stop": _without(text, ".,;:!?'\"()-"),
-        "symbol": _without(text, "#*$%&|<>@^~_=+/\\{}[]`"),
-        "blank": _without(text, BLANKS),
-    }
-    known = sum(counted.values(), F.lit(0))
-    counted["other"] = F.greatest(F.length(text) - known, F.lit(0))
-    return [counted[name].cast("long").alias(name) for name in CLASSES]
-
-
 def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
     """Per language the shares of character classes and of its common words.
 
@@ -127,8 +162,13 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         words(F.lower("text")).alias("words"),
     ).where(F.size("words") >= MIN_WORDS)
-    classes = cut.select("lang", F.size("words").alias("n"), *class_counts(F.col("text")))
-    sums = classes.groupBy("lang").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in CLASSES])
+    classes = classified(cut.select("lang", "text", F.size("words").alias("n")), "text")
+    sums = stored(
+        classes.groupBy("lang").agg(
+            F.sum("n").alias("n"), *[F.sum(F.get("chars", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]
+        ),
+        "language-sums",
+    )
     total = sums.agg(F.sum("n")).first()[0] or 0
     kept = sums.where(F.col("n") >= LANGUAGE_SHARE * total).collect()
     if not kept:
@@ -192,7 +232,6 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     """
     refs = references(docs, common)
     base = measured(docs)
-    text = F.coalesce(F.col("row.text"), F.lit(""))
     if not refs:
         out = base.withColumns(
             {"char_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")}
@@ -211,13 +250,10 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
         lang = F.coalesce(F.col("row.lang"), F.lit(""))
         counted = base.select(
             "*",
-            F.array(*class_counts(text)).alias("chars"),
-            F.filter(
-                F.transform("words", lambda w: F.lower(w)), lambda w: w.isin(everything)
-            ).alias("hits"),
+            F.filter(words(F.lower("body")), lambda w: w.isin(everything)).alias("hits"),
             F.coalesce(F.try_element_at(own, lang), F.array(*entry.values())).alias("refs"),
         )
-        length = F.length(text).cast("double")
+        length = F.length("body").cast("double")
         n = F.col("n_words").cast("double")
         out = counted.withColumns(
             {
@@ -239,7 +275,7 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
                 ),
             }
         )
-    length = F.greatest(F.length(text), F.lit(1)).cast("double")
+    length = F.greatest(F.length("body"), F.lit(1)).cast("double")
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     near = (
         (F.coalesce("char_distance", F.lit(0.0)) <= CHAR_LIMIT + CHAR_NOISE / F.sqrt(length))

@@ -13,6 +13,7 @@ from riskmart.llm.quality_divergence import judged
 from riskmart.llm.lsh_forest import near_duplicates
 from riskmart.llm.phrase_automata import remove_repeated_passages
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
+from riskmart.llm.toxicity_fm import held_out, learn, scored
 from riskmart.llm.window_packing import pack_windows
 from riskmart.llm.sql import LINE_WINDOWS_SQL
 
@@ -82,11 +83,23 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = learn(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, machine).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
     "op3_line_windows": line_windows,
     "op4_kd_sharding": kd_sharding,
+    "op6_toxicity_fm": toxicity_fm,
     "op7_suffix_ranks": suffix_ranks,
     "op8_phrase_automata": phrase_automata,
     "op9_lsh_forest": lsh_forest,
