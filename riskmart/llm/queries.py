@@ -12,6 +12,7 @@ from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
 from riskmart.llm.lsh_forest import near_duplicates
 from riskmart.llm.phrase_automata import remove_repeated_passages
+from riskmart.llm.site_templates import main_texts
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.toxicity_fm import held_out, learn, scored
 from riskmart.llm.window_packing import pack_windows
@@ -94,11 +95,16 @@ def toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
     "op3_line_windows": line_windows,
     "op4_kd_sharding": kd_sharding,
+    "op5_site_templates": site_templates,
     "op6_toxicity_fm": toxicity_fm,
     "op7_suffix_ranks": suffix_ranks,
     "op8_phrase_automata": phrase_automata,
