@@ -7,8 +7,9 @@ all. The index is sent to all tasks; it is built in shards of a bounded number o
 and each shard is one more filter over the documents in the same stage.
 
 Every document is cut into overlapping passages, each long enough to hold any item of the
-shard whole. A passage asks the index: bounds over its terms end most queries at once, a
-block-max WAND walk over the postings finds all items above the threshold for the rest.
+shard whole. A passage asks the index: bounds from the heavy terms of the items end most queries at
+once, a block-max WAND walk over the postings finds all items above the threshold for the
+rest.
 What is retrieved is verified in the document around the passage: of both the question
 and the answer of the item, ``OVERLAP`` percent of the shingles must be there.
 
@@ -112,6 +113,16 @@ class Index:
         self.starts = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.items, self.weights = item, weight
         self.highest = np.maximum.reduceat(weight, self.starts[:-1]) if len(weight) else weight
+        # Per item, its lightest terms up to half the threshold only add to a bound.
+        order = np.lexsort((weight, item))
+        light = np.cumsum(weight[order])
+        begins = np.searchsorted(item[order], np.arange(len(full)))
+        light -= np.append(0, light)[begins][item[order]]
+        heavy = order[light > THRESHOLD / 2]
+        self.bounds = np.ones(len(full)) - np.bincount(item[heavy], weights=weight[heavy], minlength=len(full))
+        heavy.sort()
+        self.heavy_items, self.heavy_weights = item[heavy], weight[heavy]
+        self.heavy_starts = np.searchsorted(term[heavy], np.arange(len(self.terms) + 1))
         # Blocks of BLOCK items: first posting and largest weight of each block of a term.
         block = term * (len(full) // BLOCK + 1) + item // BLOCK
         first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
@@ -119,6 +130,21 @@ class Index:
         self.block_weights = np.maximum.reduceat(weight, first) if len(first) else weight
         self.block_starts = np.searchsorted(term[first], np.arange(len(self.terms) + 1))
 
+    def hopeful(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> np.ndarray:
+        """Passages for which the bound of some item reaches the threshold.
+
+        Only postings of an item's heavy terms are looked at; the rest of the item counts as
+        if the passage had all of it. An item above the threshold has a heavy term, as its
+        other terms weigh half of THRESHOLD at most.
+        """
+        sizes = self.heavy_starts[term + 1] - self.heavy_starts[term]
+        owner = np.repeat(np.arange(len(term)), sizes)
+        at = np.repeat(self.heavy_starts[term] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(owner))
+        pair, place = np.unique(passage[owner] * len(self.ids) + self.heavy_items[at], return_inverse=True)
+        sums = np.bincount(place, weights=self.heavy_weights[at], minlength=len(pair))
+        number, item = np.divmod(pair, len(self.ids))
+        return np.unique(number[sums + self.bounds[item] >= threshold - 1e-9])
+
     def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """All items with a score of at least ``threshold``: block-max WAND."""
         slack = 1e-9
@@ -189,7 +215,10 @@ class _Cursor:
 
 
 def matches_of(texts: pa.Array, index: Index, threshold: float, overlap: int) -> list[tuple]:
-    """(text, item id, passages, best score, question percent, answer percent) of a batch."""
+    """(text, item id, passages, best score, question percent, answer percent) of a batch.
+
+    ``threshold`` is above half of THRESHOLD, which the index is built for.
+    """
     if not index.ids:
         return []
     words, bounds = plain_words(texts)
@@ -208,10 +237,10 @@ def matches_of(texts: pa.Array, index: Index, threshold: float, overlap: int) ->
     pair = np.unique(passage * len(index.terms) + term)
     passage, term = np.divmod(pair, len(index.terms))
     edge = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-    bound = np.add.reduceat(index.highest[term], edge)
     ends = np.append(edge[1:], len(term))
+    hopeful = np.searchsorted(passage[edge], index.hopeful(passage, term, threshold))
     found: dict[tuple[int, int], list] = {}
-    for k in np.flatnonzero(bound >= threshold - 1e-9).tolist():
+    for k in hopeful.tolist():
         number = int(passage[edge[k]])
         doc = int(np.searchsorted(before, number, "right")) - 1
         while per_text[doc] == 0:
