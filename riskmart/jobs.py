@@ -160,8 +160,12 @@ def load_market(lake: Lakehouse, folder: str, pattern: str = "{table}.csv") -> N
 
 def load_replay(
     lake: Lakehouse, folder: str, pattern: str = "{table}.csv", limit: int = 0, **options: str
-) -> None:
-    """Operational tables of the CSV history; rows that are already there stay."""
+) -> dict[str, int]:
+    """Operational tables of the CSV history; rows that are already there stay.
+
+    Orders of unknown status go to a quarantine with their lines and payments. Gives the
+    number of payments left out for want of a positive amount, and of unmapped orders.
+    """
     files = {
         "customers_file": "customers", "orders_file": "orders", "items_file": "order_items",
         "payments_file": "order_payments", "products_file": "products",
@@ -172,8 +176,13 @@ def load_replay(
         for name, t in files.items()
     }
     replay = Replay(**frames, limit=limit, **options)
-    for table, (rows, keys) in replay.tables().items():
+    quarantine = replay.quarantine()
+    for table, (rows, keys) in {**replay.tables(), **quarantine}.items():
         lake.replay.add_absent(table, rows, keys)
+    return {
+        "skipped_payments": replay.skipped_payments().first()[0],
+        "unmapped_orders": quarantine["unmapped_orders"][0].count(),
+    }
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -184,7 +193,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--kafka", help="bootstrap servers for the bronze job")
     parser.add_argument("--csv-folder", help="folder of the CSV files for market and replay")
     parser.add_argument("--csv-pattern", default="{table}.csv", help="file name of a table")
-    parser.add_argument("--limit", type=int, default=10_000, help="orders to replay, 0 for all")
+    parser.add_argument("--limit", type=int, default=0, help="orders to replay, 0 for all")
     parser.add_argument("--namespace", help="namespace text of replay identifiers")
     parser.add_argument("--buckets", type=int, default=16, help="buckets of new keyed tables")
     parser.add_argument("--drain", action="store_true", help="stop when the input is used up")
@@ -211,7 +220,7 @@ def main(argv: list[str] | None = None) -> None:
         load_market(lake, args.csv_folder, args.csv_pattern)
     else:
         options = {"namespace": args.namespace} if args.namespace else {}
-        load_replay(lake, args.csv_folder, args.csv_pattern, args.limit, **options)
+        print(load_replay(lake, args.csv_folder, args.csv_pattern, args.limit, **options))
 
 
 if __name__ == "__main__":

@@ -703,6 +703,14 @@ oracle(
     """SELECT * EXCLUDE (k, total_amount) FROM rorders ORDER BY created_at, CAST(k AS VARCHAR) LIMIT 10000""",
     "rorders",
 )
+oracle(
+    "replay_unmapped",
+    """SELECT CAST(k AS VARCHAR) AS order_id, 'lost' AS order_status, coalesce(l.n, 0) AS lines,
+      coalesce(p.n, 0) AS payments, 0 AS kept
+    FROM mo LEFT JOIN (SELECT k, count(*) AS n FROM mi GROUP BY k) l USING (k)
+    LEFT JOIN (SELECT k, count(*) AS n FROM rp GROUP BY k) p USING (k) WHERE status = 'delivered'""",
+    "mo", "mi", "rp",
+)
 oracle(
     "replay_order_items",
     f"""SELECT {uuid5('order', 'k')} AS order_id, {uuid5('listing', "prod || ':' || supp")} AS product_id,

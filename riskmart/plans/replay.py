@@ -239,8 +239,26 @@ class Replay:
         """Orders whose source status has no counterpart, for the quarantine."""
         return self._orders_with_total().filter(F.col("status").isNull()).drop("status")
 
+    def unmapped_keys(self) -> DataFrame:
+        """Source keys of orders without an operational status; few in any sane history."""
+        return self.all_orders().filter(order_status(F.col("order_status")).isNull()).select("order_id").distinct()
+
+    def quarantine(self) -> dict[str, tuple[DataFrame, list[str]]]:
+        """Source rows of unmapped orders, with their lines and payments, and their keys.
+
+        What is in here is in none of the tables of ``tables``, and the other way round.
+        """
+        keys = self.unmapped_keys()
+        rows = lambda frame: frame.join(keys, "order_id", "left_semi")
+        return {
+            "unmapped_orders": (rows(self.selected_orders()), ["order_id"]),
+            "unmapped_order_items": (rows(self.selected_items()), ["order_id", "item_number"]),
+            "unmapped_payments": (rows(self.in_slice(self.payments_file)), ["order_id", "payment_sequential"]),
+        }
+
     def order_items(self) -> DataFrame:
-        lines = self.selected_items().groupBy("order_id", "product_id", "seller_id").agg(
+        mapped = self.selected_items().join(self.unmapped_keys(), "order_id", "left_anti")
+        lines = mapped.groupBy("order_id", "product_id", "seller_id").agg(
             F.count(F.lit(1)).alias("quantity"),
             mean_half_even(F.sum("price"), F.count("price")).alias("unit_price"),
         )
@@ -276,6 +294,7 @@ class Replay:
             "payment_type",
             F.bround(exact("payment_value"), 2).cast("decimal(18,2)").alias("amount"),
         )
+        rows = rows.join(self.unmapped_keys(), "order_id", "left_anti")
         return spread_join(rows, context, "order_id", ["payment_sequential", "amount"], "inner")
 
     def payments(self) -> DataFrame:

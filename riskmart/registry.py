@@ -7,6 +7,7 @@ doubles, dates as ISO text, arrays as comma-separated text, instants as zone-les
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -463,6 +464,29 @@ def replay_skipped_payments(d: SampleDomain) -> DataFrame:
     return replay(d).skipped_payments()
 
 
+@query
+def replay_unmapped(d: SampleDomain) -> DataFrame:
+    """Orders in progress under a status that nobody knows: all of each in quarantine,
+    nothing of it in the operational tables."""
+    whole = replay(d)
+    known = F.col("order_status") != "delivered"
+    odd = replace(whole, orders_file=whole.orders_file.withColumn(
+        "order_status", F.when(known, F.col("order_status")).otherwise("lost")))
+    parts = {name: rows for name, (rows, _) in odd.quarantine().items()}
+    count = lambda name, label: parts[name].groupBy("order_id").agg(F.count("*").alias(label))
+    lines = odd.order_items().groupBy("order_id").agg(F.count("*").alias("kept"))
+    keys = parts["unmapped_orders"].select("order_id", "order_status", odd.uuid("order", F.col("order_id")).alias("uuid"))
+    return (
+        keys.join(count("unmapped_order_items", "lines"), "order_id", "left")
+        .join(count("unmapped_payments", "payments"), "order_id", "left")
+        .join(lines.withColumnRenamed("order_id", "uuid"), "uuid", "left")
+        .select(
+            "order_id", "order_status",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "payments", "kept")],
+        )
+    )
+
+
 @query
 def replay_order_slice(d: SampleDomain) -> DataFrame:
     """The default slice: the earliest 10,000 orders."""
