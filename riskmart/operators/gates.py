@@ -19,12 +19,14 @@ class Gate:
     """Passes when ``expected`` (a measure or a whole number) equals the measure ``actual``.
 
     Without an expectation all measures of ``actual`` must be equal; the least and the
-    greatest of them are reported.
+    greatest of them are reported. A measure that is missing fails the gate; with
+    ``empty_passes`` missing ones do not count.
     """
 
     name: str
     expected: str | int | None
     actual: str | Sequence[str]
+    empty_passes: bool = False
 
 
 class GateFailure(RuntimeError):
@@ -84,12 +86,19 @@ def evaluate(all_measures: Sequence[DataFrame], gates: Sequence[Gate]) -> DataFr
                 F.lit(gate.name).alias("gate"),
                 low.alias("expected"),
                 high.alias("actual"),
-                F.coalesce(low == high, low.isNull() & high.isNull()).alias("passed"),
+                _passed(gate, low, high, actual).alias("passed"),
             )
         )
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _passed(gate: Gate, low: Column, high: Column, actual: list[Column]) -> Column:
+    if gate.empty_passes:
+        return F.coalesce(low == high, low.isNull() & high.isNull())
+    present = reduce(lambda x, y: x & y, [a.isNotNull() for a in actual])
+    return F.coalesce(present & (low == high), F.lit(False))
+
+
 def _names(gate: Gate) -> tuple[str, ...]:
     return (gate.actual,) if isinstance(gate.actual, str) else tuple(gate.actual)
 

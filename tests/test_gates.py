@@ -121,6 +121,13 @@ def test_require_names_the_failure(spark):
         require(rows)
 
 
+def test_a_missing_measure_is_red(spark):
+    gates = [Gate("absent", "n", "no_such"), Gate("both", "x", "y"), Gate("some", None, ("n", "x")), Gate("fine", 3, "n"),
+             Gate("stamps", None, ("x", "n"), empty_passes=True), Gate("none", None, ("x", "y"), empty_passes=True)]
+    found = evaluate([count_measure(spark.range(3), "n")], gates)
+    assert {r.gate for r in found.collect() if not r.passed} == {"absent", "both", "some"}
+
+
 def test_segment_share_lists_empty_segments(spark):
     share = serving.segment_share(spark.sql("SELECT 'LOW' AS customer_risk_segment"))
     assert sorted(map(tuple, share.collect())) == [("HIGH", 0, 0.0), ("LOW", 1, 100.0), ("MEDIUM", 0, 0.0)]
