@@ -7,9 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 64
+#: A key is hot from this share of the facts on; so there are at most 1 / HOT_SHARE.
+HOT_SHARE = 1 / 1000
 TRACKED_KEYS = 4096
-SPREAD = 32
+#: Groups of tasks whose sketches are combined first.
+SKETCH_GROUPS = 256
+
+
+def hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """Keys that hold ``HOT_SHARE`` of the facts or more, with their number of slots.
+
+    Frequent-items sketches are made per task, combined per group of tasks and then once
+    more, so the last task sees ``SKETCH_GROUPS`` sketches whatever the input. A key gets a
+    slot for each ``HOT_SHARE`` of the facts that it is estimated to hold.
+    """
+    tracked = F.lit(TRACKED_KEYS)
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    sketched = (
+        facts.select(F.col(key).alias("_key"), group.alias("_group"))
+        .groupBy("_group")
+        .agg(F.call_function("approx_top_k_accumulate", "_key", tracked).alias("_sketch"), F.count("*").alias("_rows"))
+        # Grouped by a constant, as a task without sketches cannot write an empty one.
+        .groupBy(F.lit(1))
+        .agg(F.call_function("approx_top_k_combine", "_sketch", tracked).alias("_sketch"), F.sum("_rows").alias("_rows"))
+    )
+    return (
+        sketched.select("_rows", F.call_function("approx_top_k_estimate", "_sketch", tracked).alias("_top"))
+        .select("_rows", F.inline("_top"))
+        .where(F.col("item").isNotNull())
+        .where(F.col("count") >= F.col("_rows") * F.lit(HOT_SHARE))
+        .select(
+            F.col("item").alias(key),
+            F.ceil(F.col("count") / (F.col("_rows") * F.lit(HOT_SHARE))).cast("int").alias("_slots"),
+        )
+    )
 
 
 def spread_join(
@@ -17,26 +48,20 @@ def spread_join(
 ) -> DataFrame:
     """Join facts to ``lookup`` on ``key``, splitting the heaviest keys over many tasks.
 
-    The heaviest keys of the facts are found by a frequent-items sketch, one small
-    aggregate over the key column. It cannot miss a key that holds more than about
-    one row in 1,000. The facts of these keys get a slot number from a hash of
-    ``spread_by``, and only their lookup rows are copied once per slot. The sketch
-    decides where rows go and never which rows match, so the result is exact.
-    At most ``HOT_KEYS`` rows are broadcast, whatever the size of the input. Facts without
-    a key match nothing; they are spread as well instead of meeting in one task.
+    Hot keys are found by ``hot_keys``, one small aggregate over the key column. The facts
+    of these keys get a slot number from a hash of ``spread_by``, and only their lookup
+    rows are copied once per slot: 2 / HOT_SHARE copies at most. The sketch decides where
+    rows go and never which rows match, so the result is exact. At most 1 / HOT_SHARE rows
+    are broadcast, whatever the size of the input. Facts without a key match nothing; they
+    are spread as well instead of meeting in one task.
     """
-    top = F.call_function(
-        "approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED_KEYS)
-    )
-    hot = (
-        facts.agg(top.alias("_top"))
-        .select(F.inline("_top"))
-        .select(F.col("item").alias(key), F.lit(True).alias("_hot"))
-    )
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
+    hot = hot_keys(facts, key)
+    lone = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.lit(1))
+    slots = F.coalesce("_slots", lone)
     spread_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_slot", F.when(F.col("_hot") | F.col(key).isNull(), slot).otherwise(0)
-    ).drop("_hot")
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    copied = lookup.join(F.broadcast(hot), key, "left").withColumn("_slot", F.explode(slots)).drop("_hot")
+        "_slot", F.pmod(F.xxhash64(*spread_by), slots).cast("int")
+    ).drop("_slots")
+    copied = lookup.join(F.broadcast(hot), key, "left").withColumn(
+        "_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1))
+    ).drop("_slots")
     return spread_facts.join(copied, [key, "_slot"], how).drop("_slot")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskmart.contracts import CUSTOMERS, PAYMENTS
 from riskmart.operators.latest import newest_per_key
-from riskmart.operators.spread import spread_join
+from riskmart.operators.spread import hot_keys, spread_join
 from riskmart.plans.market_gold import payment_context
 from riskmart.plans.silver_cdc import newest_changes, parse_records
 from riskmart.registry import QUERIES
@@ -89,6 +89,18 @@ def test_a_key_with_a_third_of_the_rows_is_split(wide_shuffle, how):
     assert largest_share(spread) < 0.2
 
 
+def test_two_hundred_hot_keys_get_slots_by_their_rows(spark):
+    facts = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN id div 2 % 200 WHEN id % 5 = 0 THEN -1 ELSE id END AS k", "id AS v"
+    ).repartition(8, "v")
+    found = {r.k: r._slots for r in hot_keys(facts, "k").collect()}
+    assert set(found) == {-1, *range(200)}
+    assert all(2 <= found[k] <= 4 for k in range(200)) and 95 <= found[-1] <= 110
+    lookup = facts.select("k").distinct().selectExpr("k", "k * 3 AS w")
+    spread = spread_join(facts, lookup, "k", ["v"])
+    assert spread.count() == 200_000 and spread.where("w <> k * 3 OR w IS NULL").isEmpty()
+
+
 def test_repeated_lookup_rows_are_all_joined(spark):
     facts = spark.range(3000).selectExpr("1L AS k", "id AS v")
     lookup = spark.sql("SELECT * FROM VALUES (1L, 'a'), (1L, 'b'), (2L, 'c') v(k, w)")
