@@ -14,19 +14,19 @@ from riskmart.llm.common import stored, table
 from riskmart.llm.decontamination import decontaminated
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.lsh_forest import without_near_duplicates
-from riskmart.llm.quality_divergence import judged
+from riskmart.llm.quality_divergence import passing
 from riskmart.llm.queries import tokenizer_path
 from riskmart.llm.window_packing import pack_windows
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or lie too far from their language go."""
-    return judged(docs).where("kept").select(*docs.columns)
+    return passing(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of three-line windows are cut from the texts."""
-    return remove_repeated_windows(docs).select(*docs.columns)
+    return remove_repeated_windows(docs, measures=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

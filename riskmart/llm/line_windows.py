@@ -49,8 +49,9 @@ def line_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents with ``text`` cut, and the columns n_lines and n_removed_lines.
+def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, measures: bool = True) -> DataFrame:
+    """The documents with ``text`` cut; ``measures`` adds n_lines and n_removed_lines, which
+    replace columns of the same names.
 
     Windows are counted with map-side partial sums, so a window that a third of all
     documents hold is one row per task. Joining the first place back to the windows may
@@ -96,11 +97,12 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     text = F.when(F.col("covered").isNull(), F.col("row.text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     )
+    added = {
+        "n_lines": F.size("full").cast("long"),
+        "n_removed_lines": F.when(F.col("covered").isNull(), 0).otherwise(F.size("covered")).cast("long"),
+    }
+    shown = [c for c in names if not measures or c not in added]
     return merged.select(
-        *[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in names],
-        F.size("full").cast("long").alias("n_lines"),
-        F.when(F.col("covered").isNull(), 0)
-        .otherwise(F.size("covered"))
-        .cast("long")
-        .alias("n_removed_lines"),
+        *[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in shown],
+        *[column.alias(name) for name, column in added.items() if measures],
     )
