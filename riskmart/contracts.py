@@ -62,20 +62,20 @@ class Entity:
         return schema_of(f"{typed}, {LINEAGE_DDL}")
 
 
-def _fields(text: str) -> dict[str, str]:
-    return dict(part.split() for part in text.split(","))
-
-
 # Topics, fields, allowed statuses and error codes of the four
 # change-stream entities.
 CUSTOMERS = Entity(
     "customers",
     key="customer_id",
     topic="commerce.commerce.customers",
-    fields=_fields(
-        "customer_id string, home_region string, account_created_at instant, "
-        "average_order_amount decimal, trusted_device_id string, updated_at instant"
-    ),
+    fields={
+        "customer_id": "string",
+        "home_region": "string",
+        "account_created_at": "instant",
+        "average_order_amount": "decimal",
+        "trusted_device_id": "string",
+        "updated_at": "instant",
+    },
     rules=(ValueRule("NEGATIVE_AVERAGE_ORDER_AMOUNT", "average_order_amount < 0"),),
 )
 
@@ -83,10 +83,15 @@ ORDERS = Entity(
     "orders",
     key="order_id",
     topic="commerce.commerce.orders",
-    fields=_fields(
-        "order_id string, customer_id string, status string, total_amount decimal, "
-        "shipping_region string, created_at instant, updated_at instant"
-    ),
+    fields={
+        "order_id": "string",
+        "customer_id": "string",
+        "status": "string",
+        "total_amount": "decimal",
+        "shipping_region": "string",
+        "created_at": "instant",
+        "updated_at": "instant",
+    },
     rules=(
         ValueRule("NEGATIVE_ORDER_AMOUNT", "total_amount < 0"),
         ValueRule(
@@ -101,14 +106,28 @@ PAYMENTS = Entity(
     "payments",
     key="transaction_id",
     topic="commerce.commerce.payments",
-    fields=_fields(
-        "transaction_id string, event_id string, order_id string, customer_id string, "
-        "seller_id string, event_time instant, amount decimal, currency string, "
-        "payment_type string, device_id string, is_new_device boolean, ip_region string, "
-        "home_region string, shipping_region string, account_age_days integer, "
-        "login_failures integer, attempt_number integer, customer_average_amount decimal, "
-        "status string, created_at instant"
-    ),
+    fields={
+        "transaction_id": "string",
+        "event_id": "string",
+        "order_id": "string",
+        "customer_id": "string",
+        "seller_id": "string",
+        "event_time": "instant",
+        "amount": "decimal",
+        "currency": "string",
+        "payment_type": "string",
+        "device_id": "string",
+        "is_new_device": "boolean",
+        "ip_region": "string",
+        "home_region": "string",
+        "shipping_region": "string",
+        "account_age_days": "integer",
+        "login_failures": "integer",
+        "attempt_number": "integer",
+        "customer_average_amount": "decimal",
+        "status": "string",
+        "created_at": "instant",
+    },
     rules=(
         ValueRule("NON_POSITIVE_PAYMENT_AMOUNT", "amount <= 0"),
         ValueRule("NEGATIVE_ACCOUNT_AGE", "account_age_days < 0"),
@@ -123,10 +142,13 @@ CHARGEBACKS = Entity(
     "chargebacks",
     key="chargeback_id",
     topic="commerce.commerce.chargebacks",
-    fields=_fields(
-        "chargeback_id string, transaction_id string, reported_at instant, "
-        "reason string, created_at instant"
-    ),
+    fields={
+        "chargeback_id": "string",
+        "transaction_id": "string",
+        "reported_at": "instant",
+        "reason": "string",
+        "created_at": "instant",
+    },
 )
 
 ENTITIES = (CUSTOMERS, ORDERS, PAYMENTS, CHARGEBACKS)
@@ -141,32 +163,78 @@ GOLD_GRAIN = {
 
 # Header columns of the nine CSV files, every one read as text.
 CSV_COLUMNS = {
-    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+    "customers": (
+        "customer_id",
+        "customer_unique_id",
+        "customer_zip_code_prefix",
+        "customer_city",
+        "customer_state",
+    ),
     "geolocation": (
-        "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state"
+        "geolocation_zip_code_prefix",
+        "geolocation_lat",
+        "geolocation_lng",
+        "geolocation_city",
+        "geolocation_state",
     ),
     "order_items": (
-        "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "shipping_limit_date",
+        "price",
+        "freight_value",
     ),
     "order_payments": (
-        "order_id payment_sequential payment_type payment_installments payment_value"
+        "order_id",
+        "payment_sequential",
+        "payment_type",
+        "payment_installments",
+        "payment_value",
     ),
     "order_reviews": (
-        "review_id order_id review_score review_comment_title review_comment_message "
-        "review_creation_date review_answer_timestamp"
+        "review_id",
+        "order_id",
+        "review_score",
+        "review_comment_title",
+        "review_comment_message",
+        "review_creation_date",
+        "review_answer_timestamp",
     ),
     "orders": (
-        "order_id customer_id order_status order_purchase_timestamp order_approved_at "
-        "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
     ),
     "products": (
-        "product_id product_category_name product_name_lenght product_description_lenght "
-        "product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm"
+        "product_id",
+        "product_category_name",
+        "product_name_lenght",
+        "product_description_lenght",
+        "product_photos_qty",
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ),
+    "sellers": (
+        "seller_id",
+        "seller_zip_code_prefix",
+        "seller_city",
+        "seller_state",
+    ),
+    "product_category_name_translation": (
+        "product_category_name",
+        "product_category_name_english",
     ),
-    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
-    "product_category_name_translation": "product_category_name product_category_name_english",
 }
 
 
 def csv_schema(table: str) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in CSV_COLUMNS[table].split()])
+    return T.StructType([T.StructField(name, T.StringType()) for name in CSV_COLUMNS[table]])
