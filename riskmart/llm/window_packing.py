@@ -21,9 +21,11 @@ result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -41,9 +43,12 @@ MAX_GAP = 64
 #: Ids of a block.
 BLOCK = 1 << 20
 #: Words whose ids a task remembers.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 20
 #: str.split() takes these for white space, tokenizers do not.
 SEPARATORS, SPACES = re.compile("[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: Stops that stand alone between a letter and white space: a token run of their own.
+STOPS = re.compile(r"(?<=[a-z])([.,]+)(?=[ \n]|\Z)")
+MARK = "\x02"
 SENTENCE_ENDS = (".", "!", "?", "。", "！", "？")
 
 OUT_DDL = (
@@ -53,32 +58,92 @@ OUT_DDL = (
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
+class _Numbers(dict):
+    """Numbers words as they come; words seen for the first time are put in ``new``."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.room, self.size = np.zeros(1 << 12, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros(max(len(self.room), len(values)), self.room.dtype)])
+        self.room[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 class Encoder:
     """Ids of texts under a tokenizer that never merges across white space.
 
-    Ids are looked up per white-space-free word; new words are encoded in one batch.
+    Ids are kept per white-space-free word; new words are encoded in batches.
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer would take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[np.ndarray], list[str]]]:
-        """Per text the ids of each of its words, and the words."""
+        # Without an id of its own for the mark, words are encoded one by one.
+        own = self._ids([MARK])[0]
+        self.mark = own[0] if len(own) == 1 else -1
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers = _Numbers()
+        self.numbers.new = []
+        self.starts, self.lengths = _Grown(np.int64), _Grown(np.int32)
+        self.ends, self.ids = _Grown(bool), _Grown(np.int32)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_new(self) -> None:
+        """Words are encoded many at a time, parted by a mark whose id tells them apart."""
+        new = self.numbers.new
+        for at in range(0, len(new), 1024):
+            some = new[at : at + 1024]
+            ids = np.array(self._ids([f" {MARK} ".join(some)])[0], np.int32)
+            edges = np.flatnonzero(ids == self.mark)
+            if len(edges) != len(some) - 1:  # a word holds the mark itself, or is very odd
+                found = self._ids(some)
+                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+            else:
+                lengths = np.diff(np.concatenate([[-1], edges, [len(ids)]])) - 1
+                ids = np.delete(ids, edges)
+            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
+            self.lengths.extend(lengths)
+            self.ids.extend(ids)
+        self.ends.extend(np.fromiter((w.endswith(SENTENCE_ENDS) for w in new), bool, len(new)))
+        new.clear()
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text its ids, the number of ids per word, and which words end a sentence."""
+        if len(self.numbers) > CACHE_WORDS:
+            self.clear()
+        # Lower case and a space before a final stop leave the ids as they are, and many
+        # fewer words are different.
+        texts = [STOPS.sub(r" \1", text.encode().lower().decode()) for text in texts]
         split = [text.split() if not SEPARATORS.search(text) else SPACES.split(text) for text in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, ids in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(ids.ids, np.int32)
-        for words in split:
-            yield [self.known[w] for w in words], words
+        bounds = np.cumsum([0, *map(len, split)])
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, bounds[-1])
+        self._encode_new()
+        lengths, ends = self.lengths.room[numbers].astype(np.int64), self.ends.room[numbers]
+        before = np.append(0, np.cumsum(lengths))
+        at = np.repeat(self.starts.room[numbers] - before[:-1], lengths) + np.arange(before[-1])
+        ids = self.ids.room[at]
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield ids[before[a] : before[b]], lengths[a:b], ends[a:b]
 
 
 def boundaries(lengths: np.ndarray, ends: np.ndarray, max_gap: int = MAX_GAP) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +154,7 @@ def boundaries(lengths: np.ndarray, ends: np.ndarray, max_gap: int = MAX_GAP) ->
     """
     total = int(lengths.sum()) + 1
     at = np.cumsum(lengths)[ends]
-    at = np.unique(at[(at > 0) & (at < total)])
+    at = at[(at > 0) & (np.diff(at, prepend=0) > 0)]
     edges = np.concatenate([[0], at, [total]])
     gaps = np.diff(edges)
     more = (gaps - 1) // max_gap
@@ -193,10 +258,8 @@ def _pack(tokenizer: str, size: int, block: int):
             if stream is None:
                 stream = Stream(piece.column("task")[0].as_py(), size)
             texts = piece.column("text").to_pylist()
-            for doc_id, (parts, words) in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts)):
-                lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-                ends = np.fromiter((w.endswith(SENTENCE_ENDS) for w in words), bool, len(words))
-                ids = np.concatenate([*parts, np.array([END_ID], np.int32)])
+            for doc_id, (ids, lengths, ends) in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts)):
+                ids = np.append(ids, np.int32(END_ID))
                 stream.add(doc_id, ids, *boundaries(lengths, ends, min(MAX_GAP, size)))
                 if stream.pending >= block:
                     out = stream.cut(final=False)
