@@ -16,7 +16,7 @@ from riskmart.llm.site_templates import main_texts
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.toxicity_fm import held_out, learn, scored
 from riskmart.llm.window_packing import pack_windows
-from riskmart.llm.sql import LINE_WINDOWS_SQL
+from riskmart.llm.sql import LINE_WINDOWS_SQL, LSH_FOREST_SQL, PHRASE_AUTOMATA_SQL, SUFFIX_RANKS_SQL
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -114,4 +114,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_line_windows": LINE_WINDOWS_SQL,
+    "op7_suffix_ranks": SUFFIX_RANKS_SQL,
+    "op8_phrase_automata": PHRASE_AUTOMATA_SQL,
+    "op9_lsh_forest": LSH_FOREST_SQL,
 }

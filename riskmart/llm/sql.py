@@ -8,12 +8,12 @@ lined AS (
   FROM source
 ),
 line_rows AS (
-  SELECT DISTINCT doc_id, body, unnest(range(1, len(lines) + 1)) AS at, unnest(lines) AS line FROM lined
+  SELECT DISTINCT doc_id, body, unnest(range(1, len(lines) + 1)) AS line_no, unnest(lines) AS line FROM lined
 ),
 full_rows AS (
   SELECT *, row_number() OVER w - 1 AS k, lead(line, 1) OVER w AS l2, lead(line, 2) OVER w AS l3
   FROM line_rows WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-  WINDOW w AS (PARTITION BY doc_id, body ORDER BY at)
+  WINDOW w AS (PARTITION BY doc_id, body ORDER BY line_no)
 ),
 windows AS (
   SELECT doc_id, body, k, row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id NULLS FIRST, body, k) AS nth
@@ -23,14 +23,14 @@ cut AS (
   SELECT DISTINCT doc_id, body, k + unnest([0, 1, 2]) AS k FROM windows WHERE nth > 1
 ),
 marked AS (
-  SELECT r.doc_id, r.body, r.at, r.line, f.k IS NOT NULL AS is_full, c.k IS NOT NULL AS is_cut
+  SELECT r.doc_id, r.body, r.line_no, r.line, f.k IS NOT NULL AS is_full, c.k IS NOT NULL AS is_cut
   FROM line_rows r
-  LEFT JOIN full_rows f ON f.doc_id IS NOT DISTINCT FROM r.doc_id AND f.body = r.body AND f.at = r.at
+  LEFT JOIN full_rows f ON f.doc_id IS NOT DISTINCT FROM r.doc_id AND f.body = r.body AND f.line_no = r.line_no
   LEFT JOIN cut c ON c.doc_id IS NOT DISTINCT FROM r.doc_id AND c.body = r.body AND c.k = f.k
 ),
 folded AS (
   SELECT doc_id, body, count(*) FILTER (is_full) AS n_lines, count(*) FILTER (is_cut) AS n_removed_lines,
-         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT is_cut), '') AS kept
+         coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT is_cut), '') AS kept
   FROM marked GROUP BY doc_id, body
 )"""
 
@@ -39,3 +39,79 @@ WITH {LINE_WINDOWS_CTES}
 SELECT s.doc_id, f.n_lines, f.n_removed_lines, md5(f.kept) AS kept_md5
 FROM source s JOIN folded f ON f.doc_id IS NOT DISTINCT FROM s.doc_id AND f.body = coalesce(s.text, '')
 """
+
+#: Bytes as pairs of hexadecimal digits; ``n`` counts rows, as doc_ids may repeat.
+SUFFIX_RANKS_SQL = r"""
+WITH source AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(doc_id, 9223372036854775807) AS place,
+         hex(encode(coalesce(text, ''))) AS raw
+  FROM documents
+),
+strings AS (
+  SELECT n, place, i, raw[2 * i + 1 : 2 * i + 100] AS s
+  FROM (SELECT n, place, raw, unnest(range(0, greatest(len(raw) // 2 - 49, 0))) AS i FROM source)
+),
+repeated AS (
+  SELECT n, i FROM (SELECT n, place, i, min(place) OVER (PARTITION BY s) AS earliest FROM strings)
+  WHERE earliest < place
+),
+gone AS (SELECT DISTINCT n, i + j AS i FROM repeated, range(0, 50) t(j)),
+spans AS (
+  SELECT n, count(*) AS n_removed, count(*) FILTER (first) AS n_spans
+  FROM (SELECT n, coalesce(i <> lag(i) OVER (PARTITION BY n ORDER BY i) + 1, true) AS first FROM gone) GROUP BY n
+),
+rest AS (
+  SELECT b.n, string_agg(b.pair, '' ORDER BY b.i) AS kept
+  FROM (SELECT n, i, raw[2 * i + 1 : 2 * i + 2] AS pair
+        FROM (SELECT n, raw, unnest(range(0, len(raw) // 2)) AS i FROM source)) b
+  ANTI JOIN gone USING (n, i) GROUP BY b.n
+)
+SELECT doc_id, CAST(len(raw) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM source LEFT JOIN spans USING (n) LEFT JOIN rest USING (n)
+"""
+
+PHRASE_AUTOMATA_SQL = r"""
+WITH source AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+windows AS (
+  SELECT n, i, array_to_string(words[i : i + 34], ' ') AS s
+  FROM (SELECT n, words, unnest(range(1, greatest(len(words) - 33, 1))) AS i FROM source)
+),
+repeated AS (SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY s) AS times FROM windows) WHERE times > 1),
+gone AS (SELECT DISTINCT n, i + j AS i FROM repeated, range(0, 35) t(j)),
+removed AS (SELECT n, count(*) AS n_removed FROM gone GROUP BY n),
+rest AS (
+  SELECT b.n, string_agg(b.word, ' ' ORDER BY b.i) AS kept
+  FROM (SELECT n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM source) b
+  ANTI JOIN gone USING (n, i) GROUP BY b.n
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM source LEFT JOIN removed USING (n) LEFT JOIN rest USING (n)
+"""
+
+LSH_FOREST_SQL = r"""
+WITH RECURSIVE source AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM source WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+         WHERE 100 * common >= 80 * (x.size + y.size - common)),
+links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM source UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM source JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
