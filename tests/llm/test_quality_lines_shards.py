@@ -16,7 +16,7 @@ from riskmart.llm.kd_shards import kd_shards, numbered
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged, passing
 
-SMALL = "/root/testdata/sf0.001"
+SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def measures(text):
@@ -42,13 +42,13 @@ def test_base_measures_follow_the_definition(spark):
 
 
 def test_plain_documents_stay_and_odd_ones_go(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     table = str.maketrans({c: "#" for c in "aeiou"})
     odd = docs.where(F.length("text") > 2000).limit(5).collect()
-    changed = [(10_000 + k, r.text.translate(table), r.lang, r.source, 0) for k, r in enumerate(odd)]
+    changed = [(1_000_000 + k, r.text.translate(table), r.lang, r.source, 0) for k, r in enumerate(odd)]
     found = judged(docs.unionByName(spark.createDataFrame(changed, docs.schema))).collect()
-    assert all(not r.kept for r in found if r.doc_id >= 10_000)
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    assert all(not r.kept for r in found if r.doc_id >= 1_000_000)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
     clean = [r for r in found if labels.get(r.doc_id) == 1 and not r.base_failed]
     assert sum(r.kept for r in clean) >= 0.98 * len(clean)
 
