@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,19 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(frame: DataFrame) -> DataFrame:
+    """Lets Spark's cleaner drop the shuffle files of steps that nobody refers to any more.
+
+    The cleaner acts on garbage collections of the driver, which are rare while jobs run.
+    References that Python held are handed back by a thread that wakes up once a second.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1.5)
+        frame.sparkSession.sparkContext._jvm.System.gc()
+    return frame
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for NULL and for blank texts."""
     plain = F.coalesce(text, F.lit(""))

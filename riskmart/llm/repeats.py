@@ -6,7 +6,8 @@ put into runs: neighbouring windows with the same smallest hash among their gram
 one group, and one run stands for about a dozen windows. Nothing is lost by this.
 
 Level one compares runs by their whole content. Runs of one group that differ may still
-share windows; of these, one run per content goes to level two, which compares windows.
+share windows; of these, one run per content goes on. Level two ranks them by a longer
+part of the text around their gram, and drops what is unique; level three compares windows.
 
 Before the shuffle, a task keeps one row per content and piece of input: a passage that a
 third of all documents hold is one row per piece and not one per document.
@@ -30,19 +31,21 @@ from pyspark.sql import functions as F
 from riskmart.llm.arrays import (
     U64, Stretches, merged_spans, mixed, pieces, signed, sliding_min, text_bytes, word_bounds, word_hashes,
 )
-from riskmart.llm.common import stored
+from riskmart.llm.common import released, stored
 
 EARLIER, ANYWHERE = "earlier", "anywhere"
+RUNS, RANKS, WINDOWS = "runs", "ranks", "windows"
 #: Kinds of rows: still to be compared; a repeated stretch; a run that differs in its group.
 OPEN, COVER, UNCLEAR = 0, 1, 2
 #: NULL document numbers are taken as the largest.
 NO_ID = (1 << 63) - 1
 
-ROW_DDL = "kind int, part long, a long, b long, id long, key int, first int, n int, times int"
+ROW_DDL = "a long, b long, id long, key int, at long"
 ROW_SCHEMA = pa.schema(
-    [("kind", pa.int32()), ("part", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("id", pa.int64()),
-     ("key", pa.int32()), ("first", pa.int32()), ("n", pa.int32()), ("times", pa.int32())]
-)
+    [("a", pa.int64()), ("b", pa.int64()), ("id", pa.int64()), ("key", pa.int32()), ("at", pa.int64())]
+)
+#: ``at`` holds first window (31 bits), windows (24 bits), times (2 bits) and kind (2 bits).
+_N_BITS, _TIMES_BITS, _KIND_BITS = 24, 4, 4
 
 
 @dataclass(frozen=True)
@@ -64,17 +67,40 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def _rows(**columns) -> pa.RecordBatch:
-    n = len(columns["id"])
+def _rows(*, kind, id, key, first, n, times=1, a=None, b=0) -> pa.RecordBatch:
+    """Rows in the narrow form that is shuffled; without ``a`` they are dealt by document."""
+    size = len(id)
+    wide = lambda x: np.broadcast_to(np.asarray(x), (size,)).astype(np.int64)
+    at = ((wide(first) << _N_BITS | wide(n)) << _TIMES_BITS | wide(times)) << _KIND_BITS | wide(kind)
+    a = signed(mixed(np.asarray(id).astype(U64), 3)) if a is None else wide(a)
     return pa.record_batch(
-        [
-            pa.array(np.broadcast_to(np.asarray(columns.get(f.name, 0)), (n,)).astype(f.type.to_pandas_dtype()))
-            for f in ROW_SCHEMA
-        ],
+        [pa.array(a), pa.array(wide(b)), pa.array(wide(id)), pa.array(wide(key).astype(np.int32)), pa.array(at)],
         schema=ROW_SCHEMA,
     )
 
 
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    x = {f.name: np.asarray(batch.column(f.name)) for f in ROW_SCHEMA}
+    at = x.pop("at")
+    x["kind"], at = at & ((1 << _KIND_BITS) - 1), at >> _KIND_BITS
+    x["times"], at = at & ((1 << _TIMES_BITS) - 1), at >> _TIMES_BITS
+    x["n"], x["first"] = at & ((1 << _N_BITS) - 1), at >> _N_BITS
+    return x
+
+
+def _readable(rows: DataFrame) -> DataFrame:
+    """id, key, first, n, times and kind of rows."""
+    at = F.col("at")
+    return rows.select(
+        "id",
+        "key",
+        F.shiftright(at, _N_BITS + _TIMES_BITS + _KIND_BITS).cast("int").alias("first"),
+        F.shiftright(at, _TIMES_BITS + _KIND_BITS).bitwiseAND(F.lit((1 << _N_BITS) - 1)).cast("int").alias("n"),
+        F.shiftright(at, _KIND_BITS).bitwiseAND(F.lit((1 << _TIMES_BITS) - 1)).cast("int").alias("times"),
+        at.bitwiseAND(F.lit((1 << _KIND_BITS) - 1)).cast("int").alias("kind"),
+    )
+
+
 def symbols_of(data: np.ndarray, offsets: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts and per text the number of symbols before it."""
     if not words:
@@ -138,14 +164,13 @@ def _extract(unit: Unit) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
                 known = times[group] > 1
                 keep, weight = order[heads], np.minimum(times, 2)
             yield _rows(
-                kind=OPEN, part=signed(a[keep]), a=signed(a[keep]), b=signed(b[keep]), id=ids[keep], key=keys[keep],
+                kind=OPEN, a=signed(a[keep]), b=signed(b[keep]), id=ids[keep], key=keys[keep],
                 first=first[keep], n=n[keep], times=weight,
             )
             again = keep[twice[keep]]
             if len(again):
                 yield _rows(
-                    kind=UNCLEAR, part=signed(mixed(ids[again].astype(U64), 3)), id=ids[again], key=keys[again],
-                    first=first[again], n=n[again], times=1,
+                    kind=UNCLEAR, id=ids[again], key=keys[again], first=first[again], n=n[again],
                 )
             found = order[known]
             if len(found):
@@ -161,43 +186,55 @@ def _spans(ids, keys, first, n, text, window) -> Iterator[pa.RecordBatch]:
     place = {t: i for i, t in enumerate(text.tolist())}
     at = np.fromiter((place[t] for t in (starts >> 32).tolist()), np.int64, len(starts))
     yield _rows(
-        kind=COVER, part=signed(mixed(ids[at].astype(U64), 3)), a=0, b=0, id=ids[at], key=keys[at],
-        first=starts & 0xFFFFFFFF, n=ends - starts - window + 1,
+        kind=COVER, id=ids[at], key=keys[at], first=starts & 0xFFFFFFFF, n=ends - starts - window + 1,
     )
 
 
-def _resolve(rule: str, unclear: bool, window: int):
-    """Over rows sorted by kind, a, b, id: finds repeated contents and differing runs."""
+def _resolve(rule: str, level: str):
+    """Over rows sorted by a, b, id: finds repeated contents and what is still unclear.
+
+    RUNS: equal a and b are equal runs; a group of equal a with several b is unclear.
+    RANKS: equal a is an equal part of a window; groups that come twice stay unclear.
+    WINDOWS: equal a and b are equal windows.
+    """
 
     def groups(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         a, b, ids = x["a"], x["b"], x["id"]
         new_a, new_b = np.ones(len(a), bool), np.ones(len(a), bool)
         new_a[1:] = a[1:] != a[:-1]
         new_b[1:] = new_a[1:] | (b[1:] != b[:-1])
-        heads = np.flatnonzero(new_b)
-        group = np.cumsum(new_b) - 1
+        heads, outer = np.flatnonzero(new_b), np.flatnonzero(new_a)
+        group, group_a = np.cumsum(new_b) - 1, np.cumsum(new_a) - 1
         times = np.bincount(group, weights=x["times"]).astype(np.int64)
-        covered = ids > ids[heads][group] if rule == EARLIER else times[group] > 1
+        several = (
+            np.minimum.reduceat(ids, outer) != np.maximum.reduceat(ids, outer)
+            if rule == EARLIER
+            else np.bincount(group_a, weights=x["times"]) > 1
+        )
         pick = lambda at, kind, times=1: _rows(
-            kind=kind, part=0, a=a[at], b=b[at], id=ids[at], key=x["key"][at], first=x["first"][at], n=x["n"][at],
-            times=times,
+            kind=kind, id=ids[at], key=x["key"][at], first=x["first"][at], n=x["n"][at], times=times
         )
+        if level == RANKS:
+            at = np.flatnonzero(several[group_a])
+            if len(at):
+                yield pick(at, UNCLEAR, x["times"][at])
+            return
+        covered = ids > ids[heads][group] if rule == EARLIER else times[group] > 1
         if covered.any():
             yield pick(np.flatnonzero(covered), COVER)
-        if unclear:
-            contents = np.bincount(np.cumsum(new_a)[heads] - 1)
-            differing = contents[np.cumsum(new_a)[heads] - 1] > 1
-            at = np.flatnonzero(~covered & differing[group]) if rule == EARLIER else heads[differing]
+        if level == RUNS:
+            differing = (np.bincount(group_a[heads]) > 1) & several
+            at = np.flatnonzero(~covered & differing[group_a]) if rule == EARLIER else heads[differing[group_a[heads]]]
             if len(at):
                 yield pick(at, UNCLEAR, np.minimum(times[group[at]], 2))
 
     def run(batches):
         held: list[dict[str, np.ndarray]] = []
         for batch in batches:
-            x = {f.name: np.asarray(batch.column(f.name)) for f in ROW_SCHEMA}
+            x = _columns(batch)
             done = x["kind"] != OPEN
             if done.any():
-                yield _rows(**{k: v[done] for k, v in x.items()})
+                yield _rows(**{k: v[done] for k, v in x.items() if k not in ("a", "b")})
                 x = {k: v[~done] for k, v in x.items()}
             if not len(x["a"]):
                 continue
@@ -221,10 +258,10 @@ def _resolve(rule: str, unclear: bool, window: int):
     return run
 
 
-def resolved(rows: DataFrame, rule: str, unclear: bool, window: int) -> DataFrame:
+def resolved(rows: DataFrame, rule: str, level: str) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "part").sortWithinPartitions("kind", "a", "b", "id", "first")
-    return dealt.mapInArrow(_resolve(rule, unclear, window), ROW_DDL)
+    dealt = rows.repartition(parts, "a").sortWithinPartitions("a", "b", "id", "at")
+    return _readable(dealt.mapInArrow(_resolve(rule, level), ROW_DDL))
 
 
 def runs(docs: DataFrame, unit: Unit) -> DataFrame:
@@ -250,12 +287,12 @@ def packed(docs: DataFrame) -> DataFrame:
 def marked_texts(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     """id, key, blob and the marks of the document as two arrays (NULL if none)."""
     lists = marks.groupBy(F.col("id").alias("mark_id"), F.col("key").alias("mark_key")).agg(
-        F.collect_list(F.struct("first", "n", "a", "times")).alias("marks")
+        F.collect_list(F.struct("first", "n", "times")).alias("marks")
     )
     texts = packed(docs)
     joined = texts.join(lists, (texts["id"] == lists["mark_id"]) & (texts["key"] == lists["mark_key"]), how)
     return joined.select(
-        "id", "key", "blob", *[F.col(f"marks.{c}").alias(c) for c in ("first", "n", "a", "times")]
+        "id", "key", "blob", *[F.col(f"marks.{c}").alias(c) for c in ("first", "n", "times")]
     )
 
 
@@ -266,6 +303,66 @@ def unpack(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), offsets
 
 
+def _marks(piece: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Text number, first window, windows and times of all marks of a piece."""
+    first = piece.column("first")
+    text = np.repeat(np.arange(piece.num_rows), np.asarray(pc.list_value_length(first)))
+    flat = [np.asarray(piece.column(c).flatten()).astype(np.int64) for c in ("first", "n", "times")]
+    return text, *flat
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of ranges, and the range each belongs to."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(owner)), owner
+
+
+def _halves(unit: Unit):
+    """The windows of a run that lie left of its gram, and the others, each named by the
+    part of the text that all of them share: the gram and half of what else a window has."""
+    left = (unit.window - unit.gram + 1) // 2
+    right = unit.window - unit.gram - left + 1
+
+    def run(batches):
+        for piece in pieces(batches, "blob", 256 << 10):
+            data, offsets = unpack(piece.column("blob"))
+            symbols, bounds = symbols_of(data, offsets, unit.words)
+            text, first, n, times = _marks(piece)
+            if not len(text):
+                continue
+            sums = Stretches(symbols)
+            grams = mixed(sums.fixed(unit.gram), 1)
+            ids, keys = np.asarray(piece.column("id"))[text], np.asarray(piece.column("key"))[text]
+            start = first + bounds[text]
+            sizes = n + unit.window - unit.gram
+            at, owner = _spread(start, sizes)
+            edges = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(grams[at], edges)
+            is_least = grams[at] == least[owner]
+            anchor = np.minimum.reduceat(np.where(is_least, at, len(grams)), edges)
+            several = np.add.reduceat(is_least.astype(np.int64), edges) > 1
+            if several.any():
+                yield _rows(
+                    kind=UNCLEAR, id=ids[several], key=keys[several], first=first[several], n=n[several],
+                    times=times[several],
+                )
+            # Windows up to this one hold ``left`` symbols before the gram, later ones ``right`` behind it.
+            border = np.clip(anchor - left + 1, start, start + n)
+            for seed, begin, size, a, b in (
+                (31, start, border - start, anchor - left, anchor + unit.gram),
+                (32, border, start + n - border, anchor, anchor + unit.gram + right),
+            ):
+                some = np.flatnonzero(~several & (size > 0))
+                if len(some):
+                    name = signed(mixed(sums.of(a[some], b[some]), seed))
+                    yield _rows(
+                        kind=OPEN, a=name, id=ids[some], key=keys[some], first=(begin - bounds[text])[some],
+                        n=size[some], times=times[some],
+                    )
+
+    return run
+
+
 def _windows(unit: Unit):
     """The windows of marked runs: named by the ranks of their halves."""
 
@@ -274,37 +371,40 @@ def _windows(unit: Unit):
         for piece in pieces(batches, "blob", 256 << 10):
             data, offsets = unpack(piece.column("blob"))
             symbols, bounds = symbols_of(data, offsets, unit.words)
-            if len(symbols) < unit.window:
+            text, first, n, times = _marks(piece)
+            if not len(text):
                 continue
             sums = Stretches(symbols)
-            first, n = piece.column("first"), piece.column("n")
-            text = np.repeat(np.arange(piece.num_rows), np.asarray(pc.list_value_length(first)))
-            start, n = np.asarray(first.flatten()).astype(np.int64), np.asarray(n.flatten()).astype(np.int64)
-            times = np.asarray(piece.column("times").flatten())
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = np.repeat(start, n) + inside
-            text, times = np.repeat(text, n), np.repeat(times, n)
+            at, owner = _spread(first, n)
+            text = text[owner]
             place = at + bounds[text]
             a = mixed(sums.of(place, place + half), 4)
             b = mixed(sums.of(place + half, place + unit.window), 5)
             yield _rows(
-                kind=OPEN, part=signed(a), a=signed(a), b=signed(b), id=np.asarray(piece.column("id"))[text],
-                key=np.asarray(piece.column("key"))[text], first=at, n=1, times=times,
+                kind=OPEN, a=signed(a), b=signed(b), id=np.asarray(piece.column("id"))[text],
+                key=np.asarray(piece.column("key"))[text], first=at, n=1, times=times[owner],
             )
 
     return run
 
 
-def repeated_stretches(docs: DataFrame, unit: Unit) -> DataFrame:
-    """id, key, first and n: windows first to first + n - 1 of the document are repeated."""
-    level_one = stored(resolved(runs(docs, unit), unit.rule, True, unit.window), "repeats")
-    unclear = (
-        level_one.where(F.col("kind") == UNCLEAR)
+def _unclear(rows: DataFrame) -> DataFrame:
+    return (
+        rows.where(F.col("kind") == UNCLEAR)
         .groupBy("id", "key", "first", "n")
         .agg(F.max("times").alias("times"))
-        .withColumn("a", F.lit(0).cast("long"))
     )
-    windows = marked_texts(docs, unclear, "inner").mapInArrow(_windows(unit), ROW_DDL)
-    level_two = resolved(windows, unit.rule, False, unit.window)
-    covers = level_one.where(F.col("kind") == COVER).unionByName(level_two)
-    return covers.select("id", "key", "first", "n", "a", "times")
+
+
+def repeated_stretches(docs: DataFrame, unit: Unit) -> DataFrame:
+    """id, key, first and n: windows first to first + n - 1 of the document are repeated.
+
+    Each step is stored, and the shuffle files of the one before are released.
+    """
+    level_one = released(stored(resolved(runs(docs, unit), unit.rule, RUNS), "repeats-runs"))
+    halves = marked_texts(docs, _unclear(level_one), "inner").mapInArrow(_halves(unit), ROW_DDL)
+    level_two = released(stored(resolved(halves, unit.rule, RANKS), "repeats-ranks"))
+    windows = marked_texts(docs, _unclear(level_two), "inner").mapInArrow(_windows(unit), ROW_DDL)
+    level_three = released(stored(resolved(windows, unit.rule, WINDOWS), "repeats-windows"))
+    covers = level_one.where(F.col("kind") == COVER).unionByName(level_three)
+    return covers.select("id", "key", "first", "n", "times")
