@@ -3,9 +3,10 @@
 The histogram of a document over character classes, and the one over the common words of
 its language, are compared to the references of that language with the Jensen-Shannon
 distance (square root of the divergence, base 2: 0 to 1). References are gathered from
-all documents with enough words, so one language reference never hangs on few texts.
+all documents with enough text, so one language reference never hangs on few texts.
 
-Languages with at least ``LANGUAGE_SHARE`` of these words get a reference, which bounds
+Common words count in lower, title and upper case. Languages with at least
+``LANGUAGE_SHARE`` of all words get a reference, which bounds
 their number. A document of another (or no) language is compared to all references and
 takes the nearest.
 
@@ -14,7 +15,7 @@ the sampling noise of short histograms, ``noise / sqrt(n)``.
 
 Defined cases: NULL text counts as empty and fails the base rule; without any reference
 (empty table, short texts only) nothing fails by distance; repeated rows are judged
-alike; extra columns pass through.
+alike; extra columns pass through, those with the names of MEASURES only in ``passing``.
 """
 
 from __future__ import annotations
@@ -25,12 +26,19 @@ from pyspark.sql import functions as F
 from riskmart.llm.common import BLANK_RUN, stored, words
 
 MIN_WORDS = 50
+#: Characters of a text that counts for the references.
+MIN_CHARS = 250
 SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 32
 #: Bits of a number that hold the place of a window in its text.
 PLACE_BITS = 24
 LANGUAGE_SHARE = 0.005
 
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
+    "word_distance", "kept",
+)
+
 #: Character classes; what no class has counts as ``other``.
 CLASSES = ("lower", "upper", "digit", "stop", "symbol", "blank", "other")
 CHAR_LIMIT, CHAR_NOISE = 0.2, 0.8
@@ -99,6 +107,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "body",
         "chars",
         "n_symbols",
+        "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -112,12 +121,13 @@ def measured(docs: DataFrame) -> DataFrame:
     )
     packed = hashed.withColumn(
         "sorted",
-        F.sort_array(
+        # Without a repeated window there is nothing to sort.
+        F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.sort_array(
             F.transform(
                 "hashes",
                 lambda h, i: F.shiftleft(F.shiftrightunsigned(h, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long")),
             )
-        ),
+        )).otherwise(F.array().cast("array<bigint>")),
     )
     alike = packed.withColumn(
         "alike",
@@ -157,32 +167,32 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
     Two aggregates with map-side sums over all documents; the driver gets one row per
     language and at most ``common`` rows of words for each.
     """
-    cut = docs.select(
-        F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        words(F.lower("text")).alias("words"),
-    ).where(F.size("words") >= MIN_WORDS)
-    classes = classified(cut.select("lang", "text", F.size("words").alias("n")), "text")
+    long_ = docs.select(
+        F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    ).where(F.length("text") >= MIN_CHARS)
     sums = stored(
-        classes.groupBy("lang").agg(
-            F.sum("n").alias("n"), *[F.sum(F.get("chars", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]
-        ),
+        classified(long_, "text")
+        .groupBy("lang")
+        .agg(*[F.sum(F.get("chars", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]),
         "language-sums",
     )
-    total = sums.agg(F.sum("n")).first()[0] or 0
-    kept = sums.where(F.col("n") >= LANGUAGE_SHARE * total).collect()
-    if not kept:
-        return {}
-    languages = sorted(row["lang"] for row in kept)
-    counted = (
-        cut.where(F.col("lang").isin(languages))
-        .select("lang", F.explode("words").alias("word"))
+    # Case is folded after the first sums, on the vocabulary instead of on all texts.
+    counted = stored(
+        long_.select("lang", F.explode(words(F.col("text"))).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("times"))
+        .groupBy("lang", F.lower("word").alias("word"))
+        .agg(F.sum("times").alias("times")),
+        "language-words",
     )
+    sizes = {row["lang"]: row["n"] for row in counted.groupBy("lang").agg(F.sum("times").alias("n"))
+             .where(F.col("n") >= LANGUAGE_SHARE * (counted.agg(F.sum("times")).first()[0] or 0)).collect()}
+    kept = sums.where(F.col("lang").isin(list(sizes))).collect()
+    if not kept:
+        return {}
     # Rank limits are applied before and after the shuffle, so a task gets few rows.
     top = (
-        counted.withColumn(
+        counted.where(F.col("lang").isin(list(sizes))).withColumn(
             "place", F.expr("row_number() OVER (PARTITION BY lang ORDER BY times DESC, word)")
         )
         .where(F.col("place") <= common)
@@ -195,7 +205,7 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
         out[row["lang"]] = {
             "chars": [row[c] / chars for c in CLASSES],
             "words": [word for _, word, _ in own],
-            "shares": [times / row["n"] for _, _, times in own],
+            "shares": [times / sizes[row["lang"]] for _, _, times in own],
         }
     return out
 
@@ -225,11 +235,8 @@ def _distance(counts: Column, total: Column, shares: Column) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest((bins + _pair(rest_p, rest_q)) / 2, F.lit(0.0))))
 
 
-def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
-    """The documents with base measures, distances and ``kept``.
-
-    char_distance and word_distance are NULL where there is nothing to compare.
-    """
+def _verdicts(docs: DataFrame, common: int) -> DataFrame:
+    """The columns of ``docs`` in ``row``, then MEASURES."""
     refs = references(docs, common)
     base = measured(docs)
     if not refs:
@@ -237,7 +244,8 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
             {"char_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")}
         )
     else:
-        everything = sorted({w for ref in refs.values() for w in ref["words"]})
+        common_words = {w for ref in refs.values() for w in ref["words"]}
+        everything = sorted({f for w in common_words for f in (w, w.capitalize(), w.upper())})
         entry = {
             lang: F.struct(
                 F.array(*[F.lit(w) for w in ref["words"]]).alias("words"),
@@ -250,7 +258,7 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
         lang = F.coalesce(F.col("row.lang"), F.lit(""))
         counted = base.select(
             "*",
-            F.filter(words(F.lower("body")), lambda w: w.isin(everything)).alias("hits"),
+            F.transform(F.filter("words", lambda w: w.isin(everything)), lambda w: F.lower(w)).alias("hits"),
             F.coalesce(F.try_element_at(own, lang), F.array(*entry.values())).alias("refs"),
         )
         length = F.length("body").cast("double")
@@ -282,10 +290,25 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
         & (F.coalesce("word_distance", F.lit(0.0)) <= WORD_LIMIT + WORD_NOISE / F.sqrt(n))
     )
     return out.select(
-        "row.*",
-        *[c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        "row",
+        *MEASURES[:5],
         base_failed().alias("base_failed"),
         "char_distance",
         "word_distance",
         (~base_failed() & near).alias("kept"),
     )
+
+
+def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
+    """The documents with MEASURES, which replace columns of the same names.
+
+    char_distance and word_distance are NULL where there is nothing to compare.
+    """
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in MEASURES]
+    return _verdicts(docs, common).select(*own, *MEASURES)
+
+
+def passing(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
+    """The documents that are kept, with their own columns only."""
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return _verdicts(docs, common).where("kept").select(*own)
