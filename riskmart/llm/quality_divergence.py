@@ -309,6 +309,10 @@ def judged(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
 
 
 def passing(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
-    """The documents that are kept, with their own columns only."""
+    """The documents that are kept, with their own columns only.
+
+    Verdicts are stored first: a filter on them would be pushed below all measures, with
+    every measure copied into it again and again.
+    """
     own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return _verdicts(docs, common).where("kept").select(*own)
+    return stored(_verdicts(docs, common).select("row", "kept"), "quality").where("kept").select(*own)
