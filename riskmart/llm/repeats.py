@@ -35,8 +35,9 @@ from riskmart.llm.common import released, stored
 
 EARLIER, ANYWHERE = "earlier", "anywhere"
 RUNS, RANKS, WINDOWS = "runs", "ranks", "windows"
-#: Kinds of rows: still to be compared; a repeated stretch; a run that differs in its group.
-OPEN, COVER, UNCLEAR = 0, 1, 2
+#: Kinds of rows: still to be compared; a repeated stretch; a run that differs in its group;
+#: a part of an unclear run, which others of its group are compared with.
+OPEN, COVER, UNCLEAR, WITNESS = 0, 1, 2, 3
 #: NULL document numbers are taken as the largest.
 NO_ID = (1 << 63) - 1
 
@@ -215,7 +216,7 @@ def _resolve(rule: str, level: str):
             kind=kind, id=ids[at], key=x["key"][at], first=x["first"][at], n=x["n"][at], times=times
         )
         if level == RANKS:
-            at = np.flatnonzero(several[group_a])
+            at = np.flatnonzero(several[group_a] & (x["kind"] == OPEN))
             if len(at):
                 yield pick(at, UNCLEAR, x["times"][at])
             return
@@ -232,7 +233,7 @@ def _resolve(rule: str, level: str):
         held: list[dict[str, np.ndarray]] = []
         for batch in batches:
             x = _columns(batch)
-            done = x["kind"] != OPEN
+            done = (x["kind"] == COVER) | (x["kind"] == UNCLEAR)
             if done.any():
                 yield _rows(**{k: v[done] for k, v in x.items() if k not in ("a", "b")})
                 x = {k: v[~done] for k, v in x.items()}
@@ -319,7 +320,12 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _halves(unit: Unit):
     """The windows of a run that lie left of its gram, and the others, each named by the
-    part of the text that all of them share: the gram and half of what else a window has."""
+    part of the text that all of them share: the gram and half of what else a window has.
+
+    A run that has its gram several times goes on whole. A window of it may hold the gram
+    once and be in a run of another document that has it once, so each place of the gram
+    gives names too: WITNESS rows, one per name and run.
+    """
     left = (unit.window - unit.gram + 1) // 2
     right = unit.window - unit.gram - left + 1
 
@@ -339,26 +345,39 @@ def _halves(unit: Unit):
             edges = np.cumsum(sizes) - sizes
             least = np.minimum.reduceat(grams[at], edges)
             is_least = grams[at] == least[owner]
-            anchor = np.minimum.reduceat(np.where(is_least, at, len(grams)), edges)
             several = np.add.reduceat(is_least.astype(np.int64), edges) > 1
             if several.any():
                 yield _rows(
                     kind=UNCLEAR, id=ids[several], key=keys[several], first=first[several], n=n[several],
                     times=times[several],
                 )
-            # Windows up to this one hold ``left`` symbols before the gram, later ones ``right`` behind it.
-            border = np.clip(anchor - left + 1, start, start + n)
+            anchor, owner = at[is_least], owner[is_least]
+            # Windows that hold the gram at this place; those up to the border hold ``left``
+            # symbols before the gram, later ones ``right`` behind it.
+            low = np.maximum(start[owner], anchor - unit.window + unit.gram)
+            high = np.minimum(start[owner] + n[owner], anchor + 1)
+            border = np.clip(anchor - left + 1, low, high)
             for seed, begin, size, a, b in (
-                (31, start, border - start, anchor - left, anchor + unit.gram),
-                (32, border, start + n - border, anchor, anchor + unit.gram + right),
+                (31, low, border - low, anchor - left, anchor + unit.gram),
+                (32, border, high - border, anchor, anchor + unit.gram + right),
             ):
-                some = np.flatnonzero(~several & (size > 0))
-                if len(some):
-                    name = signed(mixed(sums.of(a[some], b[some]), seed))
-                    yield _rows(
-                        kind=OPEN, a=name, id=ids[some], key=keys[some], first=(begin - bounds[text])[some],
-                        n=size[some], times=times[some],
-                    )
+                some = np.flatnonzero(size > 0)
+                name = signed(mixed(sums.of(a[some], b[some]), seed))
+                again = several[owner[some]]
+                once = np.flatnonzero(~again)
+                again = np.flatnonzero(again)
+                if len(again):
+                    order = again[np.lexsort((name[again], owner[some[again]]))]
+                    new = np.ones(len(order), bool)
+                    new[1:] = (name[order[1:]] != name[order[:-1]]) | (owner[some[order[1:]]] != owner[some[order[:-1]]])
+                    again = order[new]
+                for kind, rows in ((OPEN, once), (WITNESS, again)):
+                    if len(rows):
+                        place, run = some[rows], owner[some[rows]]
+                        yield _rows(
+                            kind=kind, a=name[rows], id=ids[run], key=keys[run],
+                            first=begin[place] - bounds[text[run]], n=size[place], times=times[run],
+                        )
 
     return run
 

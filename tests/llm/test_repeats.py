@@ -79,6 +79,29 @@ def test_passages_follow_the_definition(spark, rows):
     assert got == kept_words(rows, 35)
 
 
+def echoed(length, echo, n=200):
+    """Pairs of documents that share one passage; in one of both its end comes again at once."""
+    chance = random.Random(5)
+    text = lambda k: [f"{chance.randrange(10**6):06}" for _ in range(k)]
+    out = []
+    for k in range(n):
+        passage = " ".join(text(60)).split(" ")[:length] if echo < 10 else list(" ".join(text(12))[:length])
+        join = " ".join if echo < 10 else "".join
+        plain = join(text(1) + passage + text(40))
+        again = join(text(1) + passage + passage[-echo:] + text(40))
+        out += [(2 * k, plain), (2 * k + 1, again)] if k % 2 else [(2 * k, again), (2 * k + 1, plain)]
+    return out
+
+
+def test_passages_whose_end_comes_again_in_one_document(spark):
+    rows = echoed(50, 20)
+    found = remove_repeated_bytes(frame(spark, rows).repartition(3)).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in found) == kept_bytes(rows, 50)
+    rows = echoed(35, 6)
+    found = remove_repeated_passages(frame(spark, rows).repartition(3)).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.kept) for r in found) == kept_words(rows, 35)
+
+
 def test_spans_are_maximal(spark):
     rows = [(1, "x" * 10 + PROSE), (2, PROSE[:60] + "#" + PROSE[60:120])]
     found = {r.doc_id: r.spans for r in remove_repeated_bytes(frame(spark, rows)).collect()}
