@@ -76,6 +76,14 @@ def test_one_of_each_group_stays_whole(spark):
     assert sorted(r.key for r in kept.collect()) == [8, 9, 10, 11]
 
 
+def test_repeated_rows_and_rows_without_id_stay_once(spark):
+    rows = [(2, PROSE)] * 5 + [(None, PROSE)] * 3 + [(None, "some other words that no document has")] * 4
+    rows += [(7, "text that comes once"), (8, ""), (8, ""), (None, None), (None, None)]
+    kept = without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(2, PROSE), (None, rows[8][1]), rows[12], (8, ""), (8, ""), (None, None), (None, None)]
+    assert collections.Counter(map(tuple, kept)) == collections.Counter(want)
+
+
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
