@@ -5,10 +5,9 @@ its language, are compared to the references of that language with the Jensen-Sh
 distance (square root of the divergence, base 2: 0 to 1). References are gathered from
 all documents with enough text, so one language reference never hangs on few texts.
 
-Common words count in lower, title and upper case. Languages with at least
-``LANGUAGE_SHARE`` of all words get a reference, which bounds
-their number. A document of another (or no) language is compared to all references and
-takes the nearest.
+Common words count in lower, title and upper case. Every language with ``LANGUAGE_WORDS``
+words gets a reference, whatever its share; NULL is a language like others. A document of
+a language without one is judged by the base rule only.
 
 Guards: a histogram is judged only when it holds enough; the limit grows by a term for
 the sampling noise of short histograms, ``noise / sqrt(n)``.
@@ -32,7 +31,8 @@ SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 32
 #: Bits of a number that hold the place of a window in its text.
 PLACE_BITS = 24
-LANGUAGE_SHARE = 0.005
+#: Words of long enough texts that make the reference of a language.
+LANGUAGE_WORDS = 5_000
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
@@ -161,20 +161,16 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
-    """Per language the shares of character classes and of its common words.
+def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
+    """Per language (``ref_lang``) the shares of character classes and of its common words.
 
-    Two aggregates with map-side sums over all documents; the driver gets one row per
-    language and at most ``common`` rows of words for each.
+    Two aggregates with map-side sums over all documents.
     """
     long_ = docs.select(
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     ).where(F.length("text") >= MIN_CHARS)
-    sums = stored(
-        classified(long_, "text")
-        .groupBy("lang")
-        .agg(*[F.sum(F.get("chars", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]),
-        "language-sums",
+    sums = classified(long_, "text").groupBy("lang").agg(
+        *[F.sum(F.get("chars", F.lit(k))).alias(c) for k, c in enumerate(CLASSES)]
     )
     # Case is folded after the first sums, on the vocabulary instead of on all texts.
     counted = stored(
@@ -185,29 +181,26 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
         .agg(F.sum("times").alias("times")),
         "language-words",
     )
-    sizes = {row["lang"]: row["n"] for row in counted.groupBy("lang").agg(F.sum("times").alias("n"))
-             .where(F.col("n") >= LANGUAGE_SHARE * (counted.agg(F.sum("times")).first()[0] or 0)).collect()}
-    kept = sums.where(F.col("lang").isin(list(sizes))).collect()
-    if not kept:
-        return {}
+    sizes = counted.groupBy("lang").agg(F.sum("times").alias("n")).where(F.col("n") >= LANGUAGE_WORDS)
     # Rank limits are applied before and after the shuffle, so a task gets few rows.
     top = (
-        counted.where(F.col("lang").isin(list(sizes))).withColumn(
-            "place", F.expr("row_number() OVER (PARTITION BY lang ORDER BY times DESC, word)")
-        )
+        counted.withColumn("place", F.expr("row_number() OVER (PARTITION BY lang ORDER BY times DESC, word)"))
         .where(F.col("place") <= common)
-        .collect()
+        .groupBy("lang")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "word", "times"))).alias("top"))
+    )
+    chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
+    return stored(
+        sums.join(sizes, "lang").join(top, "lang").select(
+            F.col("lang").alias("ref_lang"),
+            F.struct(
+                F.col("top.word").alias("words"),
+                F.transform("top.times", lambda t: t / F.col("n")).alias("shares"),
+                F.array(*[F.col(c) / chars for c in CLASSES]).alias("chars"),
+            ).alias("ref"),
+        ),
+        "language-references",
     )
-    out = {}
-    for row in kept:
-        chars = sum(row[c] for c in CLASSES)
-        own = sorted((r["place"], r["word"], r["times"]) for r in top if r["lang"] == row["lang"])
-        out[row["lang"]] = {
-            "chars": [row[c] / chars for c in CLASSES],
-            "words": [word for _, word, _ in own],
-            "shares": [times / sizes[row["lang"]] for _, _, times in own],
-        }
-    return out
 
 
 def _pair(p: Column, q: Column) -> Column:
@@ -238,51 +231,24 @@ def _distance(counts: Column, total: Column, shares: Column) -> Column:
 def _verdicts(docs: DataFrame, common: int) -> DataFrame:
     """The columns of ``docs`` in ``row``, then MEASURES."""
     refs = references(docs, common)
+    common_words = [r[0] for r in refs.select(F.explode("ref.words")).distinct().collect()]
+    # Only spares counting: what is in no reference cannot be a hit.
+    everything = sorted({f for w in common_words for f in (w, w.capitalize(), w.upper())})
+    lang = F.coalesce(F.col("row.lang"), F.lit(""))
     base = measured(docs)
-    if not refs:
-        out = base.withColumns(
-            {"char_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")}
-        )
-    else:
-        common_words = {w for ref in refs.values() for w in ref["words"]}
-        everything = sorted({f for w in common_words for f in (w, w.capitalize(), w.upper())})
-        entry = {
-            lang: F.struct(
-                F.array(*[F.lit(w) for w in ref["words"]]).alias("words"),
-                F.array(*[F.lit(s) for s in ref["shares"]]).alias("shares"),
-                F.array(*[F.lit(s) for s in ref["chars"]]).alias("chars"),
-            )
-            for lang, ref in refs.items()
+    counted = base.join(F.broadcast(refs), lang == F.col("ref_lang"), "left").withColumn(
+        "hits", F.transform(F.filter("words", lambda w: w.isin(everything)), lambda w: F.lower(w))
+    )
+    length = F.length("body").cast("double")
+    n = F.col("n_words").cast("double")
+    hits = F.transform("ref.words", lambda w: F.size("hits") - F.size(F.array_remove("hits", w)))
+    known = F.col("ref_lang").isNotNull()
+    out = counted.withColumns(
+        {
+            "char_distance": F.when(known, _distance(F.col("chars"), length, F.col("ref.chars"))),
+            "word_distance": F.when(known, _distance(hits, n, F.col("ref.shares"))),
         }
-        own = F.create_map(*[x for lang, e in entry.items() for x in (F.lit(lang), F.array(e))])
-        lang = F.coalesce(F.col("row.lang"), F.lit(""))
-        counted = base.select(
-            "*",
-            F.transform(F.filter("words", lambda w: w.isin(everything)), lambda w: F.lower(w)).alias("hits"),
-            F.coalesce(F.try_element_at(own, lang), F.array(*entry.values())).alias("refs"),
-        )
-        length = F.length("body").cast("double")
-        n = F.col("n_words").cast("double")
-        out = counted.withColumns(
-            {
-                "char_distance": F.array_min(
-                    F.transform("refs", lambda r: _distance(F.col("chars"), length, r["chars"]))
-                ),
-                "word_distance": F.array_min(
-                    F.transform(
-                        "refs",
-                        lambda r: _distance(
-                            F.transform(
-                                r["words"],
-                                lambda w: F.size("hits") - F.size(F.array_remove("hits", w)),
-                            ),
-                            n,
-                            r["shares"],
-                        ),
-                    )
-                ),
-            }
-        )
+    )
     length = F.greatest(F.length("body"), F.lit(1)).cast("double")
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     near = (

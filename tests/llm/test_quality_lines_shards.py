@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import random
 import re
 import zlib
 
@@ -53,6 +54,26 @@ def test_plain_documents_stay_and_odd_ones_go(spark):
     assert sum(r.kept for r in clean) >= 0.98 * len(clean)
 
 
+def test_small_languages_are_kept(spark):
+    """Clean texts of a language with few of all words, with and without enough for a reference."""
+    rows = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text", "lang").collect()
+    chance = random.Random(3)
+    vocabulary = [f"{chance.choice('kmt')}{chance.choice('aeiou')}{chance.choice('lnr')}{k:x}".translate(
+        str.maketrans("0123456789", "ghjpqsvwyz")) for k in range(500)]
+    weights = [1 / (k + 1) for k in range(500)]
+    text = lambda n: " ".join(chance.choices(vocabulary, weights, k=n)) + "."
+    small = [(10**6 + k, text(150), "xa") for k in range(8)]
+    enough = [(2 * 10**6 + k, text(400), "xb") for k in range(20)]
+    odd = [(3 * 10**6 + k, " ".join(f"#{chance.random()}" for _ in range(70)), "xb") for k in range(2)]
+    assert 10 * sum(len(words(r.text)) for r in rows) > 200 * 400 * 20
+    docs = [tuple(r) for r in rows for _ in range(10)] + small + enough + odd
+    found = judged(spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)).collect()
+    by = {r.doc_id: r for r in found}
+    assert all(by[i].kept and by[i].word_distance is None for i, _, _ in small)
+    assert all(by[i].kept and by[i].word_distance is not None for i, _, _ in enough)
+    assert not any(by[i].kept for i, _, _ in odd)
+
+
 def test_quality_on_empty_tables_and_clashing_columns(spark):
     assert judged(spark.createDataFrame([], SCHEMA)).count() == 0
     docs = frame(spark, [(1, PROSE), (2, "short")]).withColumn("kept", F.lit("mine")).withColumn("words", F.lit(3))
