@@ -11,7 +11,9 @@ shard whole. A passage asks the index: bounds from the heavy terms of the items
 once, a block-max WAND walk over the postings finds all items above the threshold for the
 rest.
 What is retrieved is verified in the document around the passage: of both the question
-and the answer of the item, ``OVERLAP`` percent of the shingles must be there.
+and the answer of the item, ``OVERLAP`` percent of the words must be there in order, in a
+stretch little longer than the part. So one changed word never hides a part of five words
+or more; shorter parts must be there whole, as another word makes another answer.
 
 Question and answer part at the last question mark; items without one (or with nothing
 after it) have their last quarter of words as the answer.
@@ -33,10 +35,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.arrays import Stretches, mixed, pieces, text_bytes, word_bounds, word_hashes
+from riskmart.llm.arrays import pieces, text_bytes, word_bounds, word_hashes
 
 THRESHOLD = 0.6
-SHINGLE, OVERLAP = 5, 80
+OVERLAP = 80
 K1, B = 1.2, 0.75
 BLOCK = 64
 #: Least number of words between the starts of two passages; a passage has twice as many.
@@ -59,26 +61,43 @@ def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), bounds
 
 
-def _shingles(words: np.ndarray, length: int) -> np.ndarray:
-    return mixed(Stretches(words).fixed(length), 9) if len(words) >= length else np.zeros(0, np.uint64)
+def _in_order(part: list[int], text: list[int]) -> int:
+    """Length of the longest common subsequence, all rows of its table at once in one number."""
+    masks: dict[int, int] = {}
+    for k, word in enumerate(part):
+        masks[word] = masks.get(word, 0) | 1 << k
+    full = (1 << len(part)) - 1
+    row = full
+    for word in text:
+        hits = row & masks.get(word, 0)
+        row = (row + hits | row - hits) & full
+    return len(part) - row.bit_count()
 
 
 @dataclass
 class Part:
-    """Distinct shingles of a question or an answer; short parts are one shingle."""
+    """The words of a question or an answer."""
 
-    length: int
-    shingles: np.ndarray
+    words: np.ndarray
 
-    @staticmethod
-    def of(words: np.ndarray) -> Part:
-        length = max(1, min(SHINGLE, len(words)))
-        return Part(length, np.unique(_shingles(words, length)))
-
-    def percent(self, words: np.ndarray) -> int:
-        if not len(self.shingles):
+    def percent(self, words: np.ndarray, least: int) -> int:
+        """Share of the part that is in order in one stretch of ``words``; 0 if below ``least``."""
+        n = len(self.words)
+        if not n:
             return 100
-        return int(100 * np.isin(self.shingles, _shingles(words, self.length)).sum() // len(self.shingles))
+        # Inserted and lost words move the rest off its diagonal by ``slack`` at most.
+        slack = max(1, n // 5)
+        place, at = np.nonzero(self.words[:, None] == words[None, :])
+        diagonals = np.sort(at - place)
+        heads = np.unique(diagonals)
+        inside = np.searchsorted(diagonals, heads + slack, "right") - np.searchsorted(diagonals, heads - slack, "left")
+        part, best = self.words.tolist(), 0
+        for k in np.argsort(-inside, kind="stable").tolist():
+            if inside[k] <= best or 100 * int(inside[k]) < least * n:
+                break
+            head = int(heads[k])
+            best = max(best, _in_order(part, words[max(0, head - slack) : max(0, head + n + slack)].tolist()))
+        return 100 * best // n
 
 
 class Index:
@@ -98,7 +117,7 @@ class Index:
         for i in full:
             own = words[bounds[i] : bounds[i + 1]]
             cut = heads[i] if heads[i] and tails[i] else len(own) - max(1, len(own) // 4)
-            self.parts.append((Part.of(own[:cut]), Part.of(own[cut:])) if cut else (Part.of(own), Part.of(own)))
+            self.parts.append((Part(own[:cut]), Part(own[cut:])) if cut else (Part(own), Part(own)))
         self.stride = max(STRIDE, int(sizes.max(initial=0)))
 
         number = np.repeat(np.arange(len(full)), sizes[full])
@@ -248,7 +267,7 @@ def matches_of(texts: pa.Array, index: Index, threshold: float, overlap: int) ->
         for item, score in index.search(term[edge[k] : ends[k]], threshold):
             first = int(bounds[doc]) + (number - int(before[doc])) * index.stride
             around = words[max(int(bounds[doc]), first - index.stride) : min(int(bounds[doc + 1]), first + 3 * index.stride)]
-            question, answer = (part.percent(around) for part in index.parts[item])
+            question, answer = (part.percent(around, overlap) for part in index.parts[item])
             if question >= overlap and answer >= overlap:
                 seen = found.setdefault((doc, item), [0, 0.0, 0, 0])
                 found[doc, item] = [

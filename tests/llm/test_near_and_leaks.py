@@ -123,6 +123,19 @@ def test_leaks_are_found_in_any_place(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 7, 8]
 
 
+def test_one_changed_word_at_any_place_hides_no_leak(spark):
+    chance = random.Random(4)
+    own = [f"{chance.choice('bdfg')}{chance.choice('aeiou')}{k}x" for k in range(38)]
+    item = spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")
+    rows = [(k, " ".join([PROSE, *own[:k], "changed", *own[k + 1 :], PROSE])) for k in range(38)]
+    rows += [(100 + k, " ".join([PROSE, *own[:k], *own[k + 1 :], PROSE])) for k in range(38)]
+    rows += [(200 + k, " ".join([PROSE, *own[:k], "more", *own[k:], PROSE])) for k in range(38)]
+    # The question without its answer, and all words in another order.
+    other = [(1000, " ".join([PROSE, *own[:28], PROSE])), (1001, " ".join([PROSE, *own[::-1], PROSE]))]
+    found = contaminations(frame(spark, rows + other).repartition(3), item).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
+
+
 def test_empty_benchmark_and_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contaminations(frame(spark, AWKWARD), none).count() == 0
