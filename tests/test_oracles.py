@@ -1,8 +1,8 @@
 """Every registered query equals its SQL twin, row by row."""
 
 import pytest
-from conftest import SMALL
 from oracle_check import connect, difference
+from scales import SMALL
 
 from riskmart.oracles import ORACLES
 from riskmart.registry import QUERIES

@@ -4,8 +4,8 @@ import re
 
 import pytest
 from change_records import bronze_frame, record
-from conftest import SMALL
 from pyspark.sql import functions as F
+from scales import SMALL
 
 from riskmart.contracts import CUSTOMERS, PAYMENTS
 from riskmart.operators.latest import newest_per_key

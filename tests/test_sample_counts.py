@@ -1,6 +1,6 @@
 """Counts of the sample mapping that were worked out by hand before the plans existed."""
 
-from conftest import MEDIUM
+from scales import MEDIUM
 
 from riskmart.registry import QUERIES
 
