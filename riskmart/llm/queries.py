@@ -12,6 +12,7 @@ from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
 from riskmart.llm.lsh_forest import near_duplicates
 from riskmart.llm.phrase_automata import remove_repeated_passages
+from riskmart.llm.piece_encoding import encode_pieces
 from riskmart.llm.site_templates import main_texts
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.toxicity_fm import held_out, learn, scored
@@ -99,6 +100,14 @@ def site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return encode_pieces(table(spark, sf_dir, "documents"), model).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
@@ -110,6 +119,7 @@ QUERIES = {
     "op8_phrase_automata": phrase_automata,
     "op9_lsh_forest": lsh_forest,
     "op10_decontamination": decontamination,
+    "op11_piece_encoding": piece_encoding,
 }
 
 ORACLES = {
