@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import table
+from riskmart.llm.conversation_trie import conversation_trie
 from riskmart.llm.decontamination import contaminations
 from riskmart.llm.kd_shards import kd_shards, numbered
+from riskmart.llm.lexical_search import ranked
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged
 from riskmart.llm.lsh_forest import near_duplicates
@@ -17,7 +19,14 @@ from riskmart.llm.site_templates import main_texts
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 from riskmart.llm.toxicity_fm import held_out, learn, scored
 from riskmart.llm.window_packing import pack_windows
-from riskmart.llm.sql import LINE_WINDOWS_SQL, LSH_FOREST_SQL, PHRASE_AUTOMATA_SQL, SUFFIX_RANKS_SQL
+from riskmart.llm.sql import (
+    CONVERSATION_TRIE_SQL,
+    LEXICAL_SEARCH_SQL,
+    LINE_WINDOWS_SQL,
+    LSH_FOREST_SQL,
+    PHRASE_AUTOMATA_SQL,
+    SUFFIX_RANKS_SQL,
+)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -108,6 +117,14 @@ def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_divergence": quality_divergence,
     "op2_window_packing": window_packing,
@@ -120,6 +137,8 @@ QUERIES = {
     "op9_lsh_forest": lsh_forest,
     "op10_decontamination": decontamination,
     "op11_piece_encoding": piece_encoding,
+    "op12_lexical_search": lexical_search,
+    "op13_conversation_trie": trie,
 }
 
 ORACLES = {
@@ -127,4 +146,6 @@ ORACLES = {
     "op7_suffix_ranks": SUFFIX_RANKS_SQL,
     "op8_phrase_automata": PHRASE_AUTOMATA_SQL,
     "op9_lsh_forest": LSH_FOREST_SQL,
+    "op12_lexical_search": LEXICAL_SEARCH_SQL,
+    "op13_conversation_trie": CONVERSATION_TRIE_SQL,
 }

