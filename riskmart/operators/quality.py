@@ -1,4 +1,8 @@
-"""Contract checks: every row gets the array of codes it violates."""
+"""Contract checks: every row gets the violated rules as bits of one number, and their codes.
+
+The number is all that filters look at. Codes are text and are built from the bits, so
+Spark builds them for rows that are still there after the filter, or not at all.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from riskmart.contracts import Entity
 from riskmart.functions.values import fired_codes
 
 CODES = "_quality_errors"
+MASK = "_violations"
 UPSERT = "_cdc_operation IN ('c', 'u', 'r')"
 KNOWN_OPERATION = "coalesce(_cdc_operation IN ('c', 'u', 'r', 'd'), false)"
 
@@ -24,17 +29,29 @@ def violations(entity: Entity) -> list[tuple[str, str]]:
         if kind == "string":
             checks.append((f"EMPTY_{name.upper()}", f"{UPSERT} AND trim({name}) = ''"))
     checks += [(rule.code, f"{UPSERT} AND {rule.violation}") for rule in entity.rules]
+    if len(checks) > 63:
+        raise ValueError(f"{entity.name} has {len(checks)} rules, a number holds 63")
     return checks
 
 
-def quality_codes(entity: Entity) -> Column:
-    """Never NULL; an empty array means the row is clean."""
-    return fired_codes(violations(entity))
+def with_violations(rows: DataFrame, entity: Entity) -> DataFrame:
+    """Typed rows with ``MASK`` (0 for a clean row) and ``CODES`` (never NULL, empty for a clean row).
+
+    The one-element explode keeps the rules where they are. As a plain projection Catalyst
+    would copy all of them, with the casts below, into every filter on the number.
+    """
+    bits = (f"CASE WHEN {test} THEN {1 << k}L ELSE 0L END" for k, (_, test) in enumerate(violations(entity)))
+    masked = rows.withColumn(MASK, F.explode(F.array(F.expr(" | ".join(bits)))))
+    return masked.withColumn(CODES, codes_of(entity))
+
+
+def codes_of(entity: Entity) -> Column:
+    return fired_codes((code, f"({MASK} & {1 << k}L) <> 0") for k, (code, _) in enumerate(violations(entity)))
 
 
 def clean(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.size(CODES) == 0)
+    return rows.filter(F.col(MASK) == 0)
 
 
 def rejected(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.size(CODES) > 0)
+    return rows.filter(F.col(MASK) != 0)

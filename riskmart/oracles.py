@@ -312,6 +312,64 @@ oracle(
       AS action, count(*) AS count FROM cust_newest GROUP BY 1""",
     "cust_newest",
 )
+# Orders, payments and chargebacks: clean inserts, and the later change of every row.
+part(
+    "order_history",
+    """SELECT k, o_custkey AS cust, status, amount, o_orderdate AS placed, 'c' AS op, 2000000 + k AS lsn, k AS off, ts
+      FROM order_base WHERE error_codes = ''
+    UNION ALL SELECT k, o_custkey, CASE status WHEN 'FAILED' THEN 'CANCELLED' WHEN 'CREATED' THEN 'DELIVERED' ELSE status END,
+      amount, o_orderdate, CASE status WHEN 'PAID' THEN 'd' ELSE 'u' END,
+      CASE status WHEN 'CREATED' THEN 1999999 ELSE 6000000 END + k, 10000000 + k, ts + INTERVAL 1 DAY FROM order_base""",
+    "order_base",
+)
+part(
+    "order_base",
+    """SELECT o.*, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, ts, error_codes,
+      CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'CREATED' ELSE 'PAID' END AS status
+    FROM orders o JOIN order_codes c ON c.k = o_orderkey""",
+    "order_codes",
+)
+part(
+    "payment_history",
+    """SELECT pay.*, 'AUTHORIZED' AS status, 'c' AS op, 3000000 + k AS lsn, k AS off, captured AS ts
+      FROM pay JOIN payment_codes USING (k) WHERE error_codes = ''
+    UNION ALL SELECT pay.*, CASE home_region WHEN 'ASIA' THEN 'DECLINED' ELSE 'PENDING' END,
+      CASE home_region WHEN 'AFRICA' THEN 'd' ELSE 'u' END,
+      CASE WHEN home_region IN ('ASIA', 'AFRICA') THEN 9000000 ELSE 2999999 END + k, 10000000 + k,
+      captured + INTERVAL 1 DAY FROM pay""",
+    "pay", "payment_codes",
+)
+part(
+    "chargeback_history",
+    """SELECT k, event_time, 'FRAUD' AS reason, 'c' AS op, 4000000 + k AS lsn, k AS off, captured AS ts
+      FROM pay JOIN chargeback_codes USING (k) WHERE error_codes = ''
+    UNION ALL SELECT k, event_time, CASE weekday WHEN 1 THEN 'STOLEN_CARD' ELSE 'UNKNOWN' END,
+      CASE weekday WHEN 0 THEN 'd' ELSE 'u' END,
+      CASE WHEN weekday < 2 THEN 12000000 ELSE 3999999 END + k, 10000000 + k, captured + INTERVAL 1 DAY
+      FROM (SELECT *, dayofweek(event_time + INTERVAL 30 DAY) AS weekday FROM pay WHERE disputed)""",
+    "pay", "chargeback_codes",
+)
+_lineage = """op AS _cdc_operation, lsn AS _source_lsn, CAST(k % 6 AS INT) AS _kafka_partition,
+      off AS _kafka_offset, ts AS _kafka_timestamp"""
+_HISTORY = {
+    "orders": f"""SELECT CAST(k AS VARCHAR) AS order_id, CAST(cust AS VARCHAR) AS customer_id, status,
+      CAST(amount AS DOUBLE) AS total_amount, 'UNKNOWN' AS shipping_region, placed AS created_at, placed AS updated_at,
+      {_lineage} FROM order_history""",
+    "payments": f"""SELECT CAST(k AS VARCHAR) AS transaction_id, 'evt-' || k AS event_id, CAST(k AS VARCHAR) AS order_id,
+      CAST(cust AS VARCHAR) AS customer_id, CAST(supp AS VARCHAR) AS seller_id, event_time,
+      CAST(amount AS DOUBLE) AS amount, currency, 'CARD' AS payment_type, 'dev-' || cust AS device_id, is_new_device,
+      ip_region, home_region, shipping_region, CAST(account_age_days AS INT) AS account_age_days,
+      CAST(login_failures AS INT) AS login_failures, CAST(attempt_number AS INT) AS attempt_number,
+      CAST(customer_average_amount AS DOUBLE) AS customer_average_amount, status, event_time AS created_at,
+      {_lineage} FROM payment_history""",
+    "chargebacks": f"""SELECT 'cb-' || k AS chargeback_id, CAST(k AS VARCHAR) AS transaction_id,
+      event_time + INTERVAL 30 DAY AS reported_at, reason, event_time + INTERVAL 30 DAY AS created_at,
+      {_lineage} FROM chargeback_history""",
+}
+for _entity, _rows in _HISTORY.items():
+    _newest = f"{_rows} QUALIFY row_number() OVER (PARTITION BY k ORDER BY lsn DESC) = 1"
+    oracle(f"cdc_latest_{_entity}", _newest, f"{_entity[:-1]}_history")
+    oracle(f"cdc_state_{_entity}", f"SELECT * FROM ({_newest}) WHERE _cdc_operation <> 'd'", f"{_entity[:-1]}_history")
 part(
     "log",
     """SELECT 'customers' AS entity, CAST(part AS INT) AS part, off, ts, key,

@@ -21,7 +21,7 @@ from riskmart.operators import basket
 from riskmart.operators.gates import key_measures
 from riskmart.operators.latest import newest_per_key
 from riskmart.operators.merge import insert_absent, merge_actions, merge_changes, upsert
-from riskmart.operators.quality import CODES
+from riskmart.operators.quality import CODES, MASK
 from riskmart.plans import decisions as risk
 from riskmart.plans import gold, market_gold, market_silver, serving, verification
 from riskmart.plans import silver_cdc as silver
@@ -93,12 +93,12 @@ def parsed(d: SampleDomain, entity) -> DataFrame:
 
 @query
 def cdc_parse_customers(d: SampleDomain) -> DataFrame:
-    return parsed(d, CUSTOMERS).drop("_processed_at", "topic", "raw_payload", CODES)
+    return parsed(d, CUSTOMERS).drop("_processed_at", "topic", "raw_payload", MASK, CODES)
 
 
 @query
 def cdc_parse_payments(d: SampleDomain) -> DataFrame:
-    return parsed(d, PAYMENTS).drop("_processed_at", "topic", "raw_payload", CODES)
+    return parsed(d, PAYMENTS).drop("_processed_at", "topic", "raw_payload", MASK, CODES)
 
 
 def codes(d: SampleDomain, entity) -> DataFrame:
@@ -149,6 +149,51 @@ def cdc_current_state(d: SampleDomain) -> DataFrame:
     return merge_changes(*snapshot_and_changes(d), CUSTOMERS).drop("_processed_at")
 
 
+def later(d: SampleDomain, entity) -> DataFrame:
+    return silver.parse_records(bronze_rows(d.later_changes(entity), as_of()), entity, as_of())
+
+
+def newest_of_history(d: SampleDomain, entity) -> DataFrame:
+    """Inserts and later changes, as one log."""
+    return silver.newest_changes(parsed(d, entity).unionByName(later(d, entity)), entity).drop("_processed_at")
+
+
+def state_of_history(d: SampleDomain, entity) -> DataFrame:
+    """Inserts as loaded first, later changes merged into them."""
+    first = silver.live_rows(silver.newest_changes(parsed(d, entity), entity))
+    return merge_changes(first, silver.newest_changes(later(d, entity), entity), entity).drop("_processed_at")
+
+
+@query
+def cdc_latest_orders(d: SampleDomain) -> DataFrame:
+    return newest_of_history(d, ORDERS)
+
+
+@query
+def cdc_latest_payments(d: SampleDomain) -> DataFrame:
+    return newest_of_history(d, PAYMENTS)
+
+
+@query
+def cdc_latest_chargebacks(d: SampleDomain) -> DataFrame:
+    return newest_of_history(d, CHARGEBACKS)
+
+
+@query
+def cdc_state_orders(d: SampleDomain) -> DataFrame:
+    return state_of_history(d, ORDERS)
+
+
+@query
+def cdc_state_payments(d: SampleDomain) -> DataFrame:
+    return state_of_history(d, PAYMENTS)
+
+
+@query
+def cdc_state_chargebacks(d: SampleDomain) -> DataFrame:
+    return state_of_history(d, CHARGEBACKS)
+
+
 @query
 def cdc_merge_actions(d: SampleDomain) -> DataFrame:
     actions = merge_actions(*snapshot_and_changes(d), CUSTOMERS)

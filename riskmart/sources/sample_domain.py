@@ -276,6 +276,39 @@ class SampleDomain:
             image[name] = F.unix_micros(name)
         return _records(rows, CHARGEBACKS, image)
 
+    def later_changes(self, entity: Entity) -> DataFrame:
+        """A second change of every order, payment and chargeback: an update, a delete, or an
+        update that left the source before the insert and only arrives after it."""
+        if entity is ORDERS:
+            rows, status = self.orders(), F.col("status")
+            updated, deleted = status == "FAILED", status == "PAID"
+            change = {"status": F.when(updated, "CANCELLED").when(deleted, status).otherwise("DELIVERED")}
+        elif entity is PAYMENTS:
+            rows, region = self.payments(), F.col("home_region")
+            updated, deleted = region == "ASIA", region == "AFRICA"
+            change = {"status": F.when(updated, "DECLINED").otherwise("PENDING")}
+        else:
+            rows, weekday = self.chargebacks(), F.dayofweek("reported_at")
+            updated, deleted = weekday == 2, weekday == 1
+            change = {"reason": F.when(updated, "STOLEN_CARD").otherwise("UNKNOWN")}
+        key = F.col("order_id" if entity is ORDERS else "transaction_id").cast("bigint")
+        base = {ORDERS.name: 2_000_000, PAYMENTS.name: 3_000_000, CHARGEBACKS.name: 4_000_000}[entity.name]
+        rows = self._inserts(rows, key, base).withColumns(
+            {
+                "op": F.when(deleted, "d").otherwise("u"),
+                "lsn": F.when(updated | deleted, F.lit(3 * base) + key).otherwise(F.col("lsn") - 1),
+                "offset": F.lit(10_000_000) + key,
+                "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 DAY"),
+            }
+        )
+        image = {name: change.get(name, F.col(name)) for name in entity.fields}
+        for name, kind in entity.fields.items():
+            if kind == "instant":
+                image[name] = F.unix_micros(name)
+            elif kind == "decimal":
+                image[name] = F.col(name).cast("string")
+        return _records(rows, entity, image)
+
     def change_stream(self) -> DataFrame:
         """All four topics as raw log records."""
         parts = (

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from riskmart.contracts import DECISION_DDL, ENTITIES, PAYMENTS, QUARANTINE_DDL, schema_of
 from riskmart.operators.latest import newest_per_key
 from riskmart.plans.decisions import decide, new_payments
-from riskmart.plans.silver_cdc import newest_changes, parse_records, quarantine_of_all
+from riskmart.plans.silver_cdc import all_fields, newest_changes, read_records, rejected_of_all, validate
 from riskmart.sources.change_log import bronze_rows
 from riskmart.sources.snapshot_store import SnapshotStore
 
@@ -47,17 +47,18 @@ def start_bronze(records: DataFrame, folder: str, checkpoint: str, drain: bool =
 def apply_changes(store: SnapshotStore, batch: DataFrame) -> None:
     """Merge one batch of bronze rows into the current-state tables and the quarantine.
 
-    The batch is kept on local disks because five plans read it. A lost copy is read
-    again from bronze.
+    Records are read once, for all topics, and kept on local disks because five plans
+    use them. A lost copy is read again from bronze.
     """
-    batch = batch.persist(StorageLevel.DISK_ONLY)
+    records = read_records(batch, all_fields(ENTITIES)).persist(StorageLevel.DISK_ONLY)
     try:
+        parsed = {entity.name: validate(records, entity) for entity in ENTITIES}
         for entity in ENTITIES:
-            store.merge_entity(newest_changes(parse_records(batch, entity), entity), entity)
+            store.merge_entity(newest_changes(parsed[entity.name], entity), entity)
         store.ensure(QUARANTINE, schema_of(QUARANTINE_DDL), ["quarantine_id"])
-        store.upsert(QUARANTINE, quarantine_of_all(batch, ENTITIES), ["quarantine_id"])
+        store.upsert(QUARANTINE, rejected_of_all(parsed.values()), ["quarantine_id"])
     finally:
-        batch.unpersist()
+        records.unpersist()
 
 
 def start_silver(bronze: DataFrame, store: SnapshotStore, checkpoint: str, drain: bool = False) -> StreamingQuery:

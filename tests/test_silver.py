@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from riskmart.contracts import CUSTOMERS, ENTITIES, LINEAGE_COLUMNS, ORDERS, PAYMENTS
 from riskmart.functions.envelope import json_text
 from riskmart.operators.merge import merge_changes
-from riskmart.operators.quality import CODES
-from riskmart.plans.silver_cdc import newest_changes, parse_records, quarantine_rows
+from riskmart.operators.quality import CODES, MASK, violations
+from riskmart.plans.silver_cdc import (
+    all_fields, newest_changes, parse_records, quarantine_rows, read_records, validate,
+)
 
 BY_NAME = {e.name: e for e in ENTITIES}
 
@@ -162,3 +164,35 @@ def test_quarantine_is_keyed_by_place_in_log(spark):
 def test_other_topics_are_left_out(spark):
     frame = bronze_frame(spark, [record("orders", 1), record("customers", 2)])
     assert parse_records(frame, ORDERS).count() == 1
+
+
+@pytest.mark.parametrize("entity", list(GOOD))
+def test_bits_stand_for_rules_in_order(spark, entity):
+    rows = [record(entity, 1), record(entity, 2, op="x"), record(entity, 3, **{BY_NAME[entity].key: ...})]
+    names = [code for code, _ in violations(BY_NAME[entity])]
+    found = parse_records(bronze_frame(spark, rows), BY_NAME[entity]).select(MASK, CODES).collect()
+    for row in found:
+        assert row[1] == [name for k, name in enumerate(names) if row[0] >> k & 1]
+    assert sorted(row[0] > 0 for row in found) == [False, True, True]
+
+
+def test_one_reading_serves_all_topics(spark):
+    """Records read with the fields of all entities give the same rows as read alone."""
+    rows = [record(entity, k) for k, entity in enumerate(GOOD)] + [record("orders", 9, total_amount="-1")]
+    frame = bronze_frame(spark, rows)
+    records, stamp = read_records(frame, all_fields(ENTITIES)), F.lit("2024-01-01").cast("timestamp")
+    for entity in ENTITIES:
+        together = validate(records, entity, stamp).collect()
+        assert together == parse_records(frame, entity, stamp).collect() and together
+
+
+@pytest.mark.parametrize("entity", list(GOOD))
+def test_rules_are_evaluated_once_in_generated_code(spark, entity):
+    """Filters look at the number only; no rule is copied into them, and codes follow the filter."""
+    parsed = parse_records(bronze_frame(spark, [record(entity, 1)]), BY_NAME[entity])
+    for frame in (newest_changes(parsed, BY_NAME[entity]), quarantine_rows(parsed)):
+        lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        filters = [line for line in lines if "Filter" in line and MASK in line]
+        assert len(filters) == 1 and "trim" not in filters[0] and "MISSING" not in filters[0]
+    plan = newest_changes(parsed, BY_NAME[entity])._jdf.queryExecution().optimizedPlan().toString()
+    assert "MISSING_" not in plan
