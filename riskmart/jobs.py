@@ -8,28 +8,36 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.contracts import CSV_COLUMNS, ENTITIES, GOLD_GRAIN
+from riskmart.contracts import CSV_COLUMNS, DECISION_DDL, ENTITIES, GOLD_GRAIN, schema_of
 from riskmart.operators.gates import require
 from riskmart.plans import gold, market_gold, market_silver, serving, verification
 from riskmart.plans.decisions import group_counts, new_payments, reason_counts
 from riskmart.plans.replay import Replay
 from riskmart.session import build_session
-from riskmart.sources.change_log import bronze_stream, log_from_files, log_from_kafka
+from riskmart.sources.change_log import BatchBound, bronze_stream, log_from_files, log_from_kafka
 from riskmart.sources.csv_snapshot import read_csv
 from riskmart.sources.json_extract import publish_extract
 from riskmart.sources.snapshot_store import SnapshotStore
+from riskmart.sources.stream_table import StreamTables
 from riskmart.streaming import pipeline
 
 
 class Lakehouse:
     """Folders of one installation under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: int = 16, bound: BatchBound = BatchBound(),
+        horizon: str | None = None,
+    ):
         self.spark = spark
+        self.bound = bound
+        self.horizon = horizon
         self.root = root.rstrip("/")
         self.bronze_folder = f"{self.root}/bronze"
         self.silver = SnapshotStore(spark, f"{self.root}/silver", buckets)
-        self.decisions = SnapshotStore(spark, f"{self.root}/decisions", buckets)
+        self.decisions = StreamTables(
+            spark, f"{self.root}/decisions", {pipeline.DECISIONS: schema_of(DECISION_DDL)}
+        )
         self.gold = SnapshotStore(spark, f"{self.root}/gold")
         self.market = SnapshotStore(spark, f"{self.root}/market")
         self.replay = SnapshotStore(spark, f"{self.root}/replay", buckets)
@@ -46,13 +54,14 @@ def ingest(lake: Lakehouse, records: DataFrame, drain: bool = False):
 
 
 def curate(lake: Lakehouse, drain: bool = False):
-    bronze = bronze_stream(lake.spark, lake.bronze_folder)
+    bronze = bronze_stream(lake.spark, lake.bronze_folder, lake.bound)
     return pipeline.start_silver(bronze, lake.silver, lake.checkpoint("silver"), drain)
 
 
 def decide(lake: Lakehouse, drain: bool = False):
-    bronze = bronze_stream(lake.spark, lake.bronze_folder)
-    return pipeline.start_decisions(bronze, lake.decisions, lake.checkpoint("decisions"), drain)
+    bronze = bronze_stream(lake.spark, lake.bronze_folder, lake.bound)
+    folder = lake.decisions.folder(pipeline.DECISIONS)
+    return pipeline.start_decisions(bronze, folder, lake.checkpoint("decisions"), drain, lake.horizon)
 
 
 def refresh_gold(lake: Lakehouse, as_of: datetime | None = None) -> None:
@@ -196,13 +205,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--limit", type=int, default=0, help="orders to replay, 0 for all")
     parser.add_argument("--namespace", help="namespace text of replay identifiers")
     parser.add_argument("--buckets", type=int, default=16, help="buckets of new keyed tables")
+    parser.add_argument("--batch-files", type=int, help="files a micro-batch takes at most, else bytes count")
+    parser.add_argument("--batch-bytes", type=int, default=BatchBound().bytes, help="bytes a micro-batch takes at most")
+    parser.add_argument("--batch-offsets", type=int, default=BatchBound().offsets, help="log records a micro-batch takes at most")
+    parser.add_argument("--horizon", help="how long a payment is known to be decided, for ever by default")
     parser.add_argument("--drain", action="store_true", help="stop when the input is used up")
     args = parser.parse_args(argv)
 
     spark = build_session(f"riskmart-{args.job}")
-    lake = Lakehouse(spark, args.root, args.buckets)
+    bound = BatchBound(args.batch_files, args.batch_bytes, args.batch_offsets)
+    lake = Lakehouse(spark, args.root, args.buckets, bound, args.horizon)
     if args.job == "bronze":
-        log = log_from_kafka(spark, args.kafka) if args.kafka else log_from_files(spark, args.log_folder)
+        if args.kafka:
+            log = log_from_kafka(spark, args.kafka, bound=bound)
+        else:
+            log = log_from_files(spark, args.log_folder, bound=bound)
         ingest(lake, log, args.drain).awaitTermination()
     elif args.job == "silver":
         curate(lake, args.drain).awaitTermination()

@@ -891,8 +891,8 @@ oracle(
     UNION ALL SELECT 'product_category_name_translation', count(DISTINCT p_type) FROM part WHERE p_type <> 'ECONOMY'""",
     "mr",
 )
-oracle(
-    "stream_final_state",
+part(
+    "left_behind",
     """SELECT 'customers' AS table_name, customer_id AS record_key, _source_lsn, _kafka_partition, _kafka_offset
       FROM cust_newest WHERE _cdc_operation <> 'd'
     UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 2000000 + k, CAST(k % 6 AS INT), k FROM order_codes WHERE error_codes = ''
@@ -902,3 +902,11 @@ oracle(
     UNION ALL SELECT 'decisions', sha256(k || '|rules-v1'), 0, 0, 0 FROM pay""",
     "cust_newest", "order_codes", "payment_codes", "chargeback_codes", "bad", "pay",
 )
+oracle("stream_final_state", "SELECT * FROM left_behind", "left_behind")
+# A payment sent again has the same LSN and a later place in its partition, and no fault.
+oracle(
+    "stream_restarted",
+    """SELECT *, 4 AS batches, 2 AS starts FROM left_behind WHERE table_name <> 'payments'
+    UNION ALL SELECT 'payments', CAST(k AS VARCHAR), 3000000 + k, CAST(k % 6 AS INT), 20000000 + k, 4, 2 FROM pay""",
+    "left_behind", "pay",
+)

@@ -27,7 +27,7 @@ from riskmart.plans import gold, market_gold, market_silver, serving, verificati
 from riskmart.plans import silver_cdc as silver
 from riskmart.plans.replay import ORDER_STATUS, Replay, order_status, payment_status
 from riskmart.session import apply_runtime_settings, shared_folder
-from riskmart.sources.change_log import bronze_rows, log_from_files
+from riskmart.sources.change_log import BatchBound, bronze_rows, log_from_files
 from riskmart.sources.csv_snapshot import read_csv, write_csv
 from riskmart.sources.json_extract import json_ready
 from riskmart.sources.sample_domain import SampleDomain
@@ -658,16 +658,8 @@ def csv_row_counts(d: SampleDomain) -> DataFrame:
     return serving.row_counts({t: f.filter(F.col("_source_file").isNotNull()) for t, f in raw.items()})
 
 
-@query
-def stream_final_state(d: SampleDomain) -> DataFrame:
-    """Everything the three streams leave behind for the whole change log: current rows,
-    quarantined records and decisions. Runs the streams until the log is used up."""
-    folder = shared_folder(d.spark, "streams")
-    d.change_stream().write.parquet(f"{folder}/log")
-    lake = Lakehouse(d.spark, folder)
-    ingest(lake, log_from_files(d.spark, f"{folder}/log"), drain=True).awaitTermination()
-    for start in (curate, decide):
-        start(lake, drain=True).awaitTermination()
+def left_behind(lake: Lakehouse) -> DataFrame:
+    """Current rows, quarantined records and decisions, by their keys and places in the log."""
     state = [
         lake.silver.read(e.name).select(
             F.lit(e.name).alias("table_name"), F.col(e.key).alias("record_key"),
@@ -686,3 +678,46 @@ def stream_final_state(d: SampleDomain) -> DataFrame:
         F.lit(0).alias("_kafka_partition"), F.lit(0).cast("bigint").alias("_kafka_offset"),
     )
     return reduce(DataFrame.unionByName, [*state, quarantine, decisions])
+
+
+@query
+def stream_final_state(d: SampleDomain) -> DataFrame:
+    """Everything the three streams leave behind for the whole change log. Runs the
+    streams until the log is used up."""
+    folder = shared_folder(d.spark, "streams")
+    d.change_stream().write.parquet(f"{folder}/log")
+    lake = Lakehouse(d.spark, folder)
+    ingest(lake, log_from_files(d.spark, f"{folder}/log"), drain=True).awaitTermination()
+    for start in (curate, decide):
+        start(lake, drain=True).awaitTermination()
+    return left_behind(lake)
+
+
+@query
+def stream_restarted(d: SampleDomain) -> DataFrame:
+    """The same in bounded batches, each stream stopped in the middle and started again,
+    and with every payment announced once more by a later snapshot.
+
+    ``batches`` counts up to 4 of the stream that made the row, ``starts`` its starts.
+    """
+    folder = shared_folder(d.spark, "restarts")
+    log, again = d.change_stream(), d.payment_changes(with_faults=False)
+    resent = again.withColumn("offset", F.col("offset") + 20_000_000).withColumn(
+        "timestamp", F.col("timestamp") + F.expr("INTERVAL 2 DAYS")
+    )
+    for part in (log, resent):
+        part.repartition(6).write.mode("append").parquet(f"{folder}/log")
+    lake = Lakehouse(d.spark, folder, buckets=4, bound=BatchBound(files=3))
+    records = log_from_files(d.spark, f"{folder}/log", bound=lake.bound)
+    made = {"bronze": pipeline.run_twice(lambda drain: ingest(lake, records, drain))}
+    lake.bound = BatchBound(files=len(lake.bronze().inputFiles()) // 5 + 1)
+    made["silver"] = pipeline.run_twice(lambda drain: curate(lake, drain))
+    made["decisions"] = pipeline.run_twice(lambda drain: decide(lake, drain))
+    stream = F.when(F.col("table_name") == "decisions", "decisions").otherwise("silver")
+    batches = {name: min(4, made[name].batches, made["bronze"].batches) for name in ("silver", "decisions")}
+    return left_behind(lake).withColumns(
+        {
+            "batches": F.when(stream == "decisions", batches["decisions"]).otherwise(batches["silver"]),
+            "starts": F.when(stream == "decisions", made["decisions"].starts).otherwise(made["silver"].starts),
+        }
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,37 @@ BRONZE_DDL = (
 ALL_TOPICS = tuple(entity.topic for entity in ENTITIES)
 
 
-def log_from_files(spark: SparkSession, folder: str, topics: Sequence[str] = ALL_TOPICS) -> DataFrame:
+@dataclass(frozen=True)
+class BatchBound:
+    """The most that one micro-batch takes from its source.
+
+    A first start, or a start after a long stop, works through its backlog in batches of
+    this size, so neither memory nor the work lost by a crash grows with the backlog.
+    Files are bounded by their number or, by default, by their bytes.
+    """
+
+    files: int | None = None
+    bytes: int = 8 << 30
+    offsets: int = 10_000_000
+
+    def of_files(self) -> dict[str, int]:
+        return {"maxFilesPerTrigger": self.files} if self.files else {"maxBytesPerTrigger": self.bytes}
+
+    def of_log(self) -> dict[str, int]:
+        return {"maxOffsetsPerTrigger": self.offsets}
+
+
+def log_from_files(
+    spark: SparkSession, folder: str, topics: Sequence[str] = ALL_TOPICS, bound: BatchBound = BatchBound()
+) -> DataFrame:
     """Stream of record files, from the first one on."""
-    records = spark.readStream.schema(schema_of(RECORD_DDL)).parquet(folder)
+    records = spark.readStream.schema(schema_of(RECORD_DDL)).options(**bound.of_files()).parquet(folder)
     return records.filter(F.col("topic").isin(*topics))
 
 
-def log_from_kafka(spark: SparkSession, servers: str, topics: Sequence[str] = ALL_TOPICS) -> DataFrame:
+def log_from_kafka(
+    spark: SparkSession, servers: str, topics: Sequence[str] = ALL_TOPICS, bound: BatchBound = BatchBound()
+) -> DataFrame:
     """Stream from Kafka; needs the connector package on the cluster."""
     return (
         spark.readStream.format("kafka")
@@ -34,6 +59,7 @@ def log_from_kafka(spark: SparkSession, servers: str, topics: Sequence[str] = AL
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", "true")
+        .options(**bound.of_log())
         .load()
     )
 
@@ -52,6 +78,6 @@ def bronze_rows(records: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def bronze_stream(spark: SparkSession, folder: str) -> DataFrame:
+def bronze_stream(spark: SparkSession, folder: str, bound: BatchBound = BatchBound()) -> DataFrame:
     """The bronze table read as a stream; the stated schema serves an empty table too."""
-    return spark.readStream.schema(schema_of(BRONZE_DDL)).parquet(folder)
+    return spark.readStream.schema(schema_of(BRONZE_DDL)).options(**bound.of_files()).parquet(folder)

@@ -1,24 +1,29 @@
 """The three streams: log to bronze, bronze to silver, payments to decisions.
 
-Each stream restarts from its checkpoint. The bronze file sink commits a batch once;
-silver and decisions may see a batch again after a crash, and applying it again
-changes nothing: merges only take newer versions, the quarantine and the decisions
-are keyed.
+Each stream restarts from its checkpoint and takes bounded batches. The file sinks of
+bronze and of the decisions commit a batch once. Silver may see a batch again after a
+crash, and applying it again changes nothing: merges only take newer versions, and the
+quarantine is keyed.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from riskmart.contracts import DECISION_DDL, ENTITIES, PAYMENTS, QUARANTINE_DDL, schema_of
+from riskmart.contracts import DECISION_DDL, ENTITIES, QUARANTINE_DDL, schema_of
 from riskmart.operators.latest import newest_per_key
 from riskmart.plans.decisions import decide, new_payments
 from riskmart.plans.silver_cdc import all_fields, newest_changes, read_records, rejected_of_all, validate
 from riskmart.sources.change_log import bronze_rows
 from riskmart.sources.snapshot_store import SnapshotStore
+from riskmart.streaming.state import once_per_payment, state_settings
 
 QUARANTINE = "cdc_quarantine"
 DECISIONS = "fraud_decisions"
@@ -33,6 +38,38 @@ def _start(writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQ
     return writer.trigger(processingTime=TRIGGER_INTERVAL).start()
 
 
+@dataclass(frozen=True)
+class Run:
+    """What a stream did: batches with rows, over all its starts."""
+
+    batches: int
+    starts: int
+
+
+def run_twice(start: Callable[[bool], StreamingQuery], after: int = 2, patience: float = 600) -> Run:
+    """Start a stream on its timer, stop it after some batches, and let a second start finish.
+
+    The stop falls into the next batch, which the second start takes from the checkpoint
+    again. Shows that a restart loses and repeats nothing.
+    """
+    query, until = start(False), time.monotonic() + patience
+    seen: set[int] = set()
+
+    def note() -> None:
+        moved = (p for p in query.recentProgress if any(s.startOffset != s.endOffset for s in p.sources))
+        seen.update(p.batchId for p in moved)
+
+    while len(seen) < after and query.isActive and time.monotonic() < until:
+        time.sleep(0.2)
+        note()
+    query.stop()
+    note()
+    query = start(True)
+    query.awaitTermination()
+    note()
+    return Run(len(seen), 2)
+
+
 def start_bronze(records: DataFrame, folder: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
     writer = (
         bronze_rows(records)
@@ -69,18 +106,25 @@ def start_silver(bronze: DataFrame, store: SnapshotStore, checkpoint: str, drain
 
 
 def apply_decisions(store: SnapshotStore, batch: DataFrame) -> None:
-    """Decide the batch's payments; a payment that was decided before keeps its decision."""
+    """Decide a batch's payments into a keyed table; a payment decided before keeps its decision.
+
+    For loads outside a stream, as it reads the buckets of the table that the batch touches.
+    """
     earliest = [-F.unix_micros("kafka_timestamp"), -F.col("risk_score")]
     decided = newest_per_key(decide(new_payments(batch)), ["decision_id"], earliest)
     store.ensure(DECISIONS, schema_of(DECISION_DDL), ["decision_id"])
     store.add_absent(DECISIONS, decided, ["decision_id"])
 
 
-def start_decisions(bronze: DataFrame, store: SnapshotStore, checkpoint: str, drain: bool = False) -> StreamingQuery:
-    """Scores straight from the bronze rows of the payments topic."""
+def start_decisions(
+    bronze: DataFrame, folder: str, checkpoint: str, drain: bool = False, horizon: str | None = None
+) -> StreamingQuery:
+    """Scores straight from the bronze rows of the payments topic, into files that only grow.
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_decisions(store, batch)
-
-    payments = bronze.filter(F.col("topic") == PAYMENTS.topic)
-    return _start(payments.writeStream.foreachBatch(apply), checkpoint, drain)
+    A batch is committed by the sink once, and the state of its checkpoint knows every
+    payment that was decided before.
+    """
+    decided = once_per_payment(decide(new_payments(bronze)), horizon)
+    writer = decided.writeStream.format("parquet").outputMode("append").option("path", folder)
+    with state_settings(bronze.sparkSession):
+        return _start(writer, checkpoint, drain)
