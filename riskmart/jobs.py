@@ -7,11 +7,13 @@ from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskmart.contracts import CSV_COLUMNS, DECISION_DDL, ENTITIES, GOLD_GRAIN, schema_of
 from riskmart.operators.gates import require
-from riskmart.plans import gold, market_gold, market_silver, serving, verification
-from riskmart.plans.decisions import group_counts, new_payments, reason_counts
+from riskmart.operators.observed import Observed
+from riskmart.plans import document, gold, market_gold, market_silver, serving, verification
+from riskmart.plans.decisions import new_payments
 from riskmart.plans.replay import Replay
 from riskmart.session import build_session
 from riskmart.sources.change_log import BatchBound, bronze_stream, log_from_files, log_from_kafka
@@ -21,6 +23,8 @@ from riskmart.sources.snapshot_store import SnapshotStore
 from riskmart.sources.stream_table import StreamTables
 from riskmart.streaming import pipeline
 
+DOCUMENT_TABLE = "dashboard_document"
+
 
 class Lakehouse:
     """Folders of one installation under ``root``."""
@@ -65,44 +69,67 @@ def decide(lake: Lakehouse, drain: bool = False):
 
 
 def refresh_gold(lake: Lakehouse, as_of: datetime | None = None) -> None:
-    """Check the inputs, build the four tables and the extract, publish each set at once."""
+    """Check the inputs, build the four tables and the extract, publish each set at once.
+
+    Totals of the gold tables are observed while they are written, and all gates pass
+    before readers see them.
+    """
     as_of = as_of or datetime.now(timezone.utc)
     silver = {entity.name: lake.silver.read(entity.name) for entity in ENTITIES}
     decisions = lake.decisions.read(pipeline.DECISIONS)
     payments, chargebacks = silver["payments"], silver["chargebacks"]
     require(verification.pre_publish_gates(payments, decisions, chargebacks))
 
-    needed = (
-        "transaction_id", "customer_id", "seller_id", "amount", "currency", "event_time", "metric_date",
-        "risk_score", "action", "rules_version", "confirmed_chargeback_id",
-    )
-    enriched = gold.enrich(payments, decisions, chargebacks).select(*needed)
+    enriched = gold.enrich(payments, decisions, chargebacks).select(*gold.NEEDED)
     # Four aggregates read it; a lost block is joined again from the silver files.
     enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        lake.gold.publish(gold.gold_tables(silver["customers"], silver["orders"], enriched, as_of))
+        tables, observed = gold.gold_tables(silver["customers"], silver["orders"], enriched, as_of), Observed()
+        watched = {
+            name: observed.watch(frame, {f"rows.{name}": F.count("*"), **verification.gold_aggregates(name)})
+            for name, frame in tables.items()
+        }
+
+        def reconciled(written: dict[str, DataFrame]) -> None:
+            log = new_payments(lake.bronze())
+            require(verification.published_gates(log, decisions, silver, written, observed.values()))
+
+        lake.gold.publish(watched, check=reconciled)
     finally:
         enriched.unpersist()
 
     published = {name: lake.gold.read(name) for name in GOLD_GRAIN}
-    counts = serving.row_counts(
-        {
-            "bronze_records": lake.bronze(),
-            "quarantine_records": lake.silver.read(pipeline.QUARANTINE),
-            **silver,
-            "decisions": decisions,
-            **{f"gold_{name}": frame for name, frame in published.items()},
-        }
-    )
+    sources = {
+        "bronze_records": lake.bronze(),
+        "quarantine_records": lake.silver.read(pipeline.QUARANTINE),
+        **silver,
+        "decisions": decisions,
+    }
+    counts = {r.table_name: r.row_count for r in serving.row_counts(sources).collect()}
+    gold_counts = {name: observed.values()[f"rows.{name}"] for name in GOLD_GRAIN}
+    publish_document(lake, published, counts, gold_counts, as_of)
+    known = serving.known_counts(lake.spark, {**counts, **{f"gold_{n}": rows for n, rows in gold_counts.items()}})
     sections = serving.extract_sections(
         published["daily_business_kpis"], published["daily_fraud_kpis"],
         published["seller_performance"], published["customer_360"],
-        serving.refresh_summary(counts, as_of),
+        serving.refresh_summary(known, as_of),
     )
-    require(verification.extract_gates(sections, counts))
+    require(verification.extract_gates(sections, known))
     publish_extract(lake.gold, sections)
 
 
+def publish_document(
+    lake: Lakehouse, published: dict[str, DataFrame], counts: dict[str, int], gold_counts: dict[str, int],
+    as_of: datetime,
+) -> None:
+    """One JSON document; its contract is checked before it is written and its sums before
+    readers are switched to it, all sections at once."""
+    whole = document.dashboard_document(published, counts, gold_counts, as_of)
+    document.check_contract(whole.schema)
+    check = lambda found: require(document.document_gates(found[DOCUMENT_TABLE]))
+    lake.gold.publish({DOCUMENT_TABLE: whole.coalesce(1)}, file_format="json", check=check)
+
+
 def verify(lake: Lakehouse) -> DataFrame:
     """All gates over the published tables, as rows."""
     silver = {entity.name: lake.silver.read(entity.name) for entity in ENTITIES}
@@ -114,14 +141,17 @@ def verify(lake: Lakehouse) -> DataFrame:
     )
 
 
-def summary(lake: Lakehouse) -> dict[str, DataFrame]:
-    """What an operator looks at: counts by topic, action and reason."""
-    decisions = lake.decisions.read(pipeline.DECISIONS)
-    return {
-        "topics": group_counts(lake.bronze(), "topic"),
-        "actions": group_counts(decisions, "action"),
-        "reasons": reason_counts(decisions),
-    }
+def summary(lake: Lakehouse) -> DataFrame:
+    """What an operator looks at, in one row."""
+    return document.pipeline_summary(
+        lake.bronze(),
+        lake.silver.read(pipeline.QUARANTINE),
+        lake.decisions.read(pipeline.DECISIONS),
+        {entity.name: lake.silver.read(entity.name) for entity in ENTITIES},
+        {entity.name: entity.key for entity in ENTITIES},
+        {name: lake.gold.read(name) for name in GOLD_GRAIN},
+        GOLD_GRAIN,
+    )
 
 
 def csv_path(folder: str, table: str, pattern: str) -> str:
@@ -180,10 +210,14 @@ def load_replay(
         "payments_file": "order_payments", "products_file": "products",
         "translation_file": "product_category_name_translation", "sellers_file": "sellers",
     }
-    frames = {
-        name: read_csv(lake.spark, t, csv_path(folder, t, pattern)).drop("_source_file", "_ingested_at")
-        for name, t in files.items()
-    }
+    # The text is parsed once; every table below reads columns of these.
+    lake.replay.publish(
+        {
+            f"file_{t}": read_csv(lake.spark, t, csv_path(folder, t, pattern)).drop("_source_file", "_ingested_at")
+            for t in files.values()
+        }
+    )
+    frames = {name: lake.replay.read(f"file_{t}") for name, t in files.items()}
     replay = Replay(**frames, limit=limit, **options)
     quarantine = replay.quarantine()
     for table, (rows, keys) in {**replay.tables(), **quarantine}.items():
@@ -230,8 +264,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "verify":
         gates = verify(lake)
         gates.show(100, truncate=False)
-        for frame in summary(lake).values():
-            frame.show(truncate=False)
+        summary(lake).show(truncate=False, vertical=True)
         require(gates)
     elif args.job == "market":
         load_market(lake, args.csv_folder, args.csv_pattern)

@@ -761,6 +761,13 @@ oracle(
     """SELECT * EXCLUDE (k, total_amount) FROM rorders ORDER BY created_at, CAST(k AS VARCHAR) LIMIT 10000""",
     "rorders",
 )
+oracle(
+    "replay_slices",
+    """SELECT slice, order_id FROM (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, count(*) OVER () AS n,
+        row_number() OVER (ORDER BY o_orderdate, CAST(o_orderkey AS VARCHAR)) AS place FROM orders)
+      JOIN (VALUES ('one'), ('half'), ('all')) v(slice)
+      ON place <= CASE slice WHEN 'one' THEN 1 WHEN 'half' THEN n // 2 ELSE n END""",
+)
 oracle(
     "replay_unmapped",
     """SELECT CAST(k AS VARCHAR) AS order_id, 'lost' AS order_status, coalesce(l.n, 0) AS lines,
@@ -843,6 +850,79 @@ oracle(
     f"SELECT gate, n AS expected, n AS actual, true AS passed FROM (VALUES {', '.join(_gate_rows)}) v(gate, n)",
     "pay",
 )
+# ---- the extract as one document, and the summary row ------------------------------------------
+
+
+def flat(section: str, rows: str, order: str, texts: list[str], numbers: list[str]) -> str:
+    """One row per value of a section; ``place`` is that of its row in the order given."""
+    cells = [f"{{'field': '{c}', 'number': CAST(NULL AS DOUBLE), 'text': {c}}}" for c in texts]
+    cells += [f"{{'field': '{c}', 'number': CAST({c} AS DOUBLE), 'text': CAST(NULL AS VARCHAR)}}" for c in numbers]
+    return f"""SELECT '{section}' AS section, place, cell.field, cell.number, cell.text FROM (
+      SELECT place, unnest([{", ".join(cells)}]) AS cell FROM (
+        SELECT *, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INT) AS place FROM ({rows})))"""
+
+
+_SOURCE_ROWS = {
+    "bronze_records": "log", "quarantine_records": "bad", "source_customers": "customer",
+    "source_orders": "orders", "source_payments": "pay", "source_decisions": "pay",
+    "source_chargebacks": "(SELECT * FROM pay WHERE disputed)",
+}
+_GOLD = ("customer_360", "daily_business_kpis", "daily_fraud_kpis", "seller_performance")
+_meta = [f"(SELECT count(*) FROM {table}) AS {name}" for name, table in _SOURCE_ROWS.items()]
+_document = [
+    flat("metadata", f"SELECT '2024-06-01T00:00:00Z' AS refreshed_at, {', '.join(_meta)}", "1", ["refreshed_at"],
+         [*_SOURCE_ROWS]),
+    flat("daily_business_kpis", ORACLES["daily_business_kpis"], "metric_date, currency", ["metric_date", "currency"],
+         ["payment_count", "unique_customers", "active_sellers", "gross_payment_value", "average_payment_value",
+          "chargeback_count", "chargeback_amount", "chargeback_rate_pct"]),
+    flat("daily_fraud_kpis", ORACLES["daily_fraud_kpis"], "metric_date", ["metric_date", "rules_version"],
+         ["total_decisions", "approved_count", "review_count", "declined_count", "average_risk_score",
+          "review_amount", "declined_amount", "confirmed_fraud_count", "confirmed_fraud_amount",
+          "flagged_rate_pct", "confirmed_fraud_rate_pct"]),
+    flat("seller_risk_watchlist", ORACLES["seller_watchlist"], "seller_rank", [],
+         ["seller_rank", "transaction_count", "unique_customers", "gross_payment_value", "average_risk_score",
+          "review_count", "declined_count", "confirmed_chargeback_count", "flagged_rate_pct", "chargeback_rate_pct"]),
+    flat("customer_risk_segments", ORACLES["customer_segments"], "customer_risk_segment",
+         ["customer_risk_segment"], ["count"]),
+    *(f"""SELECT 'metadata', 0, 'gold_row_counts.{name}', CAST(count(*) AS DOUBLE), NULL FROM ({ORACLES[name]})"""
+      for name in _GOLD),
+]
+oracle("extract_document", " UNION ALL ".join(_document), "log", "bad", "pay")
+oracle(
+    "extract_document_gates",
+    """SELECT gate, n AS expected, n AS actual, true AS passed FROM (VALUES
+      ('document_payments_reconcile', (SELECT count(*) FROM pay)),
+      ('document_decisions_reconcile', (SELECT count(*) FROM pay)),
+      ('document_customers_reconcile', (SELECT count(*) FROM customer)),
+      ('document_has_no_identifiers', CAST(0 AS BIGINT)), ('document_has_all_sections', CAST(5 AS BIGINT))) v(gate, n)""",
+    "pay",
+)
+
+
+def counted_text(rows: str, key: str) -> str:
+    return f"(SELECT string_agg({key} || '=' || n, ',' ORDER BY {key}) FROM ({rows}))"
+
+
+_silver = {"chargebacks": "(SELECT * FROM pay WHERE disputed)", "customers": "customer", "orders": "orders", "payments": "pay"}
+_silver_rows = " UNION ALL ".join(f"SELECT '{n}' AS t, count(*) AS n FROM {t}" for n, t in _silver.items())
+_gold_rows = " UNION ALL ".join(f"SELECT '{n}' AS t, count(*) AS n FROM ({ORACLES[n]})" for n in _GOLD)
+oracle(
+    "pipeline_summary",
+    f"""SELECT (SELECT count(*) FROM log) AS bronze_records,
+      {counted_text("SELECT 'commerce.commerce.' || entity AS t, count(*) AS n FROM log GROUP BY 1", "t")} AS topic_counts,
+      (SELECT count(*) FROM dec) AS fraud_decisions,
+      {counted_text("SELECT action AS t, count(*) AS n FROM dec GROUP BY 1", "t")} AS action_counts,
+      {counted_text(
+          "SELECT t, count(*) AS n FROM (SELECT unnest(string_split(reason_codes, ',')) AS t FROM dec "
+          "WHERE reason_codes <> '') GROUP BY 1", "t")} AS reason_counts,
+      CAST(0 AS BIGINT) AS duplicate_decision_ids,
+      {counted_text(_silver_rows, "t")} AS silver_counts,
+      '{",".join(f"{n}=0" for n in sorted(_silver))}' AS silver_duplicate_keys,
+      {counted_text(_gold_rows, "t")} AS gold_counts,
+      '{",".join(f"{n}=0" for n in sorted(_GOLD))}' AS gold_duplicate_keys,
+      {AS_OF} AS gold_refreshed_at, (SELECT count(*) FROM bad) AS quarantine_records""",
+    "log", "bad", "dec", "pay",
+)
 oracle(
     "unmatched_chargebacks",
     """SELECT 'cb-' || o_orderkey AS chargeback_id, CAST(o_orderkey AS VARCHAR) AS transaction_id

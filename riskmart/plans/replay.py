@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.identity import DEFAULT_NAMESPACE, entity_uuid, listing_key
 from riskmart.functions.values import blank_to_null, instant, integer, mean_half_even, or_unknown
+from riskmart.operators.first_n import first_n
 from riskmart.operators.spread import spread_join
 
 # Source order status -> operational order status.
@@ -60,7 +61,7 @@ def order_slice(orders: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` orders by purchase time, all of them for 0."""
     if limit < 0:
         raise ValueError("limit must be 0 (all orders) or positive")
-    return orders.orderBy("purchased_at", "order_id").limit(limit) if limit else orders
+    return orders.filter(first_n(orders, limit, "purchased_at", "order_id")) if limit else orders
 
 
 @dataclass
@@ -78,6 +79,7 @@ class Replay:
     namespace: str = DEFAULT_NAMESPACE
     device_prefix: str = "trusted-"
     skipped: Observation | None = field(default=None)
+    _selected: DataFrame | None = field(default=None, init=False, repr=False)
 
     def uuid(self, entity: str, key: Column) -> Column:
         return entity_uuid(entity, key, self.namespace)
@@ -94,7 +96,9 @@ class Replay:
         )
 
     def selected_orders(self) -> DataFrame:
-        return order_slice(self.all_orders(), self.limit)
+        if self._selected is None:  # the end of the slice is looked for once
+            self._selected = order_slice(self.all_orders(), self.limit)
+        return self._selected
 
     def in_slice(self, rows: DataFrame) -> DataFrame:
         """Rows of the selected orders; a full replay needs no join for that."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmart.functions.values import percent
+from riskmart.operators.observed import measure_rows
 
 WATCHLIST_SIZE = 8
 TOP_SELLERS = 25
@@ -179,6 +181,11 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def known_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The same for numbers that were taken while the tables were written."""
+    return measure_rows(spark, counts).toDF("table_name", "row_count")
+
+
 def refresh_summary(counts: DataFrame, as_of: datetime | str) -> DataFrame:
     """The metadata block: one row, one column per counted table."""
     return counts.groupBy().agg(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.contracts import ENTITIES, GOLD_GRAIN
 from riskmart.operators.gates import (
     Gate, count_measure, evaluate, key_measures, measures, total_measure,
 )
+from riskmart.operators.observed import measure_rows
 
 
 def unmatched_chargebacks(chargebacks: DataFrame, payments: DataFrame) -> DataFrame:
@@ -68,35 +69,48 @@ def logged_payment_keys(new_payments: DataFrame) -> DataFrame:
     return new_payments.select("transaction_id")
 
 
+# Gold table -> measure -> column whose total it is.
+GOLD_TOTALS = {
+    "daily_business_kpis": {"business_payments": "payment_count"},
+    "daily_fraud_kpis": {"fraud_decisions": "total_decisions", "confirmed_fraud": "confirmed_fraud_count"},
+    "seller_performance": {"seller_payments": "transaction_count"},
+    "customer_360": {"customer_payments": "payment_count"},
+}
+
+
+def gold_aggregates(name: str) -> dict[str, Column]:
+    """All measures of a gold table but those of its keys, for one look at its rows."""
+    stamp = F.unix_micros("refreshed_at")
+    return {
+        f"gold.{name}.first_refresh": F.min(stamp),
+        f"gold.{name}.last_refresh": F.max(stamp),
+        **{m: F.coalesce(F.sum(column), F.lit(0)) for m, column in GOLD_TOTALS[name].items()},
+    }
+
+
 def published_gates(
     new_payments: DataFrame,
     decisions: DataFrame,
     silver: dict[str, DataFrame],
     gold: dict[str, DataFrame],
+    observed: dict[str, int | None] | None = None,
 ) -> DataFrame:
-    """Uniqueness and reconciliation over the log, silver, decisions and gold."""
-    stamp = F.unix_micros("refreshed_at")
+    """Uniqueness and reconciliation over the log, silver, decisions and gold.
+
+    ``gold`` are stored tables. With the measures ``observed`` while they were written,
+    only their key columns are read, else their totals too, in one more pass.
+    """
+    if observed is None:
+        totals = [measures(gold[name], **gold_aggregates(name)) for name in GOLD_GRAIN]
+    else:
+        totals = [measure_rows(decisions.sparkSession, observed)]
     parts = [
         key_measures(decisions, "decisions", ["decision_id"]),
         key_measures(logged_payment_keys(new_payments), "logged_payments", ["transaction_id"]),
         key_measures(silver["payments"], "active_sellers", ["seller_id"]),
         *(key_measures(silver[e.name], e.name, [e.key]) for e in ENTITIES),
         *(key_measures(gold[name], f"gold.{name}", keys) for name, keys in GOLD_GRAIN.items()),
-        *(
-            measures(
-                gold[name],
-                **{f"gold.{name}.first_refresh": F.min(stamp), f"gold.{name}.last_refresh": F.max(stamp)},
-            )
-            for name in GOLD_GRAIN
-        ),
-        total_measure(gold["daily_business_kpis"], "payment_count", "business_payments"),
-        measures(
-            gold["daily_fraud_kpis"],
-            fraud_decisions=F.coalesce(F.sum("total_decisions"), F.lit(0)),
-            confirmed_fraud=F.coalesce(F.sum("confirmed_fraud_count"), F.lit(0)),
-        ),
-        total_measure(gold["seller_performance"], "transaction_count", "seller_payments"),
-        total_measure(gold["customer_360"], "payment_count", "customer_payments"),
+        *totals,
     ]
     return evaluate(parts, PUBLISHED)
 

@@ -7,23 +7,25 @@ doubles, dates as ISO text, arrays as comma-separated text, instants as zone-les
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.contracts import CHARGEBACKS, CSV_COLUMNS, CUSTOMERS, ENTITIES, ORDERS, PAYMENTS
+from riskmart.contracts import CHARGEBACKS, CSV_COLUMNS, CUSTOMERS, ENTITIES, GOLD_GRAIN, ORDERS, PAYMENTS
 from riskmart.functions.envelope import json_text
-from riskmart.jobs import Lakehouse, curate, decide, ingest
+from riskmart.jobs import DOCUMENT_TABLE, Lakehouse, curate, decide, ingest, publish_document
 from riskmart.operators import basket
+from riskmart.operators.first_n import first_n
 from riskmart.operators.gates import key_measures
 from riskmart.operators.latest import newest_per_key
 from riskmart.operators.merge import insert_absent, merge_actions, merge_changes, upsert
+from riskmart.operators.observed import Observed
 from riskmart.operators.quality import CODES, MASK
 from riskmart.plans import decisions as risk
-from riskmart.plans import gold, market_gold, market_silver, serving, verification
+from riskmart.plans import document, gold, market_gold, market_silver, serving, verification
 from riskmart.plans import silver_cdc as silver
 from riskmart.plans.replay import ORDER_STATUS, Replay, order_status, payment_status
 from riskmart.session import apply_runtime_settings, shared_folder
@@ -538,6 +540,18 @@ def replay_order_slice(d: SampleDomain) -> DataFrame:
     return replay(d, limit=10_000).orders().drop("total_amount")
 
 
+@query
+def replay_slices(d: SampleDomain) -> DataFrame:
+    """Slices of one order, of half of them and of more than there are, by their order numbers."""
+    orders = replay(d).all_orders()
+    half = orders.count() // 2
+    parts = [
+        orders.filter(first_n(orders, n, "purchased_at", "order_id")).select(F.lit(name).alias("slice"), "order_id")
+        for name, n in (("one", 1), ("half", half), ("all", 3 * half + 1))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def basket_match(d: SampleDomain) -> DataFrame:
     customers = d.table("customer").select(
@@ -553,28 +567,131 @@ def basket_match(d: SampleDomain) -> DataFrame:
 # ---- gates --------------------------------------------------------------------------------
 
 
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The rows, stored in the shared folder and read from there."""
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@dataclass
+class Written:
+    """The silver tables, the decisions and gold, each stored once, with what was observed then."""
+
+    tables: dict[str, DataFrame]
+    gold: dict[str, DataFrame]
+    counts: dict[str, int]
+    measures: dict[str, int]
+
+
+def written_tables(d: SampleDomain) -> Written:
+    counted, observed = Observed(), Observed()
+    sources = {"customers": d.customers(), "orders": d.orders(), "payments": d.payments()}
+    tables = {
+        name: written(counted.watch(frame, {name: F.count("*")}), name) for name, frame in sources.items()
+    }
+    later = {"chargebacks": d.chargebacks_of(tables["payments"]), "decisions": risk.decide(tables["payments"], as_of())}
+    tables |= {name: written(counted.watch(frame, {name: F.count("*")}), name) for name, frame in later.items()}
+    enriched_rows = gold.enrich(tables["payments"], tables["decisions"], tables["chargebacks"]).select(*gold.NEEDED)
+    built = gold.gold_tables(tables["customers"], tables["orders"], written(enriched_rows, "enriched"), AS_OF)
+    stored = {}
+    for name, frame in built.items():
+        aggregates = {f"rows.{name}": F.count("*"), **verification.gold_aggregates(name)}
+        stored[name] = written(observed.watch(frame, aggregates), name)
+    return Written(tables, stored, counted.values(), observed.values())
+
+
 @query
 def gates_summary(d: SampleDomain) -> DataFrame:
-    """All gates over the sample tables: before publishing, after it, and of the extract."""
-    payments, chargebacks = d.payments(), d.chargebacks()
-    decisions = risk.decide(payments, as_of())
-    silver_tables = {
-        "customers": d.customers(), "orders": d.orders(), "payments": payments, "chargebacks": chargebacks,
-    }
-    tables = gold.gold_tables(silver_tables["customers"], silver_tables["orders"], enriched(d), AS_OF)
+    """All gates over the sample tables: before publishing, after it, and of the extract.
+
+    Every table is written once; its counts and totals are observed on the way.
+    """
+    w = written_tables(d)
+    payments, decisions, chargebacks = (w.tables[name] for name in ("payments", "decisions", "chargebacks"))
     log = bronze_rows(d.payment_changes(with_faults=False), as_of())
-    counts = serving.row_counts({**silver_tables, "decisions": decisions})
+    counts = serving.known_counts(d.spark, w.counts)
     sections = serving.extract_sections(
-        tables["daily_business_kpis"], tables["daily_fraud_kpis"], tables["seller_performance"],
-        tables["customer_360"], serving.refresh_summary(counts, AS_OF),
+        w.gold["daily_business_kpis"], w.gold["daily_fraud_kpis"], w.gold["seller_performance"],
+        w.gold["customer_360"], serving.refresh_summary(counts, AS_OF),
     )
     return verification.all_gates(
         verification.pre_publish_gates(payments, decisions, chargebacks),
-        verification.published_gates(risk.new_payments(log), decisions, silver_tables, tables),
+        verification.published_gates(risk.new_payments(log), decisions, w.tables, w.gold, w.measures),
         verification.extract_gates(sections, counts),
     )
 
 
+def published_document(d: SampleDomain) -> DataFrame:
+    """The document as readers find it: published as JSON and read back."""
+    w = written_tables(d)
+    bronze = bronze_rows(d.change_stream(), as_of())
+    counts = w.counts | {
+        "bronze_records": bronze.count(),
+        "quarantine_records": silver.quarantine_of_all(bronze, ENTITIES, as_of()).count(),
+    }
+    gold_counts = {name: w.measures[f"rows.{name}"] for name in w.gold}
+    lake = Lakehouse(d.spark, shared_folder(d.spark, "document"))
+    publish_document(lake, w.gold, counts, gold_counts, AS_OF)
+    return lake.gold.read(DOCUMENT_TABLE)
+
+
+@query
+def extract_document(d: SampleDomain) -> DataFrame:
+    """Every value of the published document: section, place in it, field, and number or text."""
+    found = published_document(d)
+
+    def values(row: str, schema: T.StructType, prefix: str = "") -> list[Column]:
+        cells = []
+        for field in schema.fields:
+            name, column = f"{prefix}{field.name}", F.col(f"{row}.{field.name}")
+            if isinstance(field.dataType, T.StructType):
+                cells += values(f"{row}.{field.name}", field.dataType, f"{name}.")
+                continue
+            text = isinstance(field.dataType, T.StringType)
+            number = F.lit(None).cast("double") if text else column.cast("double")
+            word = column if text else F.lit(None).cast("string")
+            cells.append(F.struct(F.lit(name).alias("field"), number.alias("number"), word.alias("text")))
+        return cells
+
+    parts = []
+    for field in found.schema.fields:
+        rows = field.dataType if isinstance(field.dataType, T.ArrayType) else T.ArrayType(field.dataType)
+        section = F.col(field.name) if rows is field.dataType else F.array(field.name)
+        each = found.select(F.posexplode(section).alias("place", "row"))
+        parts.append(
+            each.select(F.lit(field.name).alias("section"), "place", F.inline(F.array(*values("row", rows.elementType))))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def extract_document_gates(d: SampleDomain) -> DataFrame:
+    return document.document_gates(published_document(d))
+
+
+@query
+def pipeline_summary(d: SampleDomain) -> DataFrame:
+    """The counts of everything in one row; maps as text."""
+    w = written_tables(d)
+    bronze = bronze_rows(d.change_stream(), as_of())
+    rows = document.pipeline_summary(
+        written(bronze.select("topic"), "topics"),
+        silver.quarantine_of_all(bronze, ENTITIES, as_of()),
+        w.tables["decisions"],
+        w.tables, {entity.name: entity.key for entity in ENTITIES},
+        w.gold, GOLD_GRAIN,
+    )
+    pair = lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
+    return rows.withColumns(
+        {
+            field.name: F.array_join(F.transform(F.map_entries(field.name), pair), ",")
+            for field in rows.schema.fields
+            if isinstance(field.dataType, T.MapType)
+        }
+    )
+
+
 @query
 def unmatched_chargebacks(d: SampleDomain) -> DataFrame:
     return verification.unmatched_chargebacks(d.disputes(), d.payments())

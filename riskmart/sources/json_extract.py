@@ -13,26 +13,26 @@ class IdentifierLeak(ValueError):
     """A section about to be published names an identifier."""
 
 
-def _identifier_fields(data_type: T.DataType, prefix: str = "") -> list[str]:
+def identifier_fields(data_type: T.DataType, prefix: str = "") -> list[str]:
     """Paths of fields named ``*_id`` anywhere in a schema, nested ones included."""
     if isinstance(data_type, T.StructType):
         found = []
         for field in data_type.fields:
             path = f"{prefix}{field.name}"
             found += [path] if field.name.endswith("_id") else []
-            found += _identifier_fields(field.dataType, f"{path}.")
+            found += identifier_fields(field.dataType, f"{path}.")
         return found
     if isinstance(data_type, T.ArrayType):
-        return _identifier_fields(data_type.elementType, prefix)
+        return identifier_fields(data_type.elementType, prefix)
     if isinstance(data_type, T.MapType):
-        return _identifier_fields(data_type.valueType, prefix)
+        return identifier_fields(data_type.valueType, prefix)
     return []
 
 
 def reject_identifiers(sections: dict[str, DataFrame]) -> None:
     """Looks at schemas only, so nothing is computed for a section that may not leave."""
     leaks = [
-        f"{name}.{path}" for name, frame in sections.items() for path in _identifier_fields(frame.schema)
+        f"{name}.{path}" for name, frame in sections.items() for path in identifier_fields(frame.schema)
     ]
     if leaks:
         raise IdentifierLeak(f"identifier fields in the extract: {', '.join(leaks)}")

@@ -163,8 +163,12 @@ class SampleDomain:
     @_once
     def chargebacks(self) -> DataFrame:
         """One payment in eleven is disputed, thirty days later."""
+        return self.chargebacks_of(self.payments())
+
+    @staticmethod
+    def chargebacks_of(payments: DataFrame) -> DataFrame:
         reported = F.col("event_time") + F.expr("INTERVAL 30 DAYS")
-        return self.payments().filter(F.col("transaction_id").cast("bigint") % 11 == 0).select(
+        return payments.filter(F.col("transaction_id").cast("bigint") % 11 == 0).select(
             F.concat(F.lit("cb-"), "transaction_id").alias("chargeback_id"),
             "transaction_id",
             reported.alias("reported_at"),

@@ -4,10 +4,14 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskmart.operators.gates import Gate, GateFailure, count_measure, evaluate, require
-from riskmart.plans import gold, serving
+from riskmart.operators.observed import Observed, measure_rows
+from riskmart.plans import document, gold, serving, verification
 from riskmart.plans.decisions import decide
 from riskmart.plans.verification import extract_gates, pre_publish_gates, published_gates
+from riskmart.sources.json_extract import IdentifierLeak
 from riskmart.sources.sample_domain import SampleDomain
 
 AS_OF = datetime(2024, 6, 1)
@@ -133,3 +137,65 @@ def test_segment_share_lists_empty_segments(spark):
     assert sorted(map(tuple, share.collect())) == [("HIGH", 0, 0.0), ("LOW", 1, 100.0), ("MEDIUM", 0, 0.0)]
     none = serving.segment_share(spark.sql("SELECT 'LOW' AS customer_risk_segment").limit(0))
     assert {r.share_pct for r in none.collect()} == {0.0}
+
+
+def test_measures_are_observed_while_a_table_is_written(spark, tables, tmp_path):
+    """Same gates as from the tables, without another look at them."""
+    silver, decisions, built = tables
+    observed, rows = Observed(), {}
+    for name, frame in built.items():
+        watched = observed.watch(frame, {f"rows.{name}": F.count("*"), **verification.gold_aggregates(name)})
+        watched.write.parquet(f"{tmp_path}/{name}")
+        rows[name] = frame.count()
+    values = observed.values()
+    assert {n: values[f"rows.{n}"] for n in built} == rows
+    from_tables = published_gates(silver["payments"], decisions, silver, built).collect()
+    assert published_gates(silver["payments"], decisions, silver, built, values).collect() == from_tables
+    empty = Observed()
+    empty.watch(spark.range(0).toDF("x"), {"n": F.count("*"), "t": F.sum("x")}).write.format("noop").mode("overwrite").save()
+    assert empty.values() == {"n": 0, "t": None}
+    assert sorted(map(tuple, measure_rows(spark, empty.values()).collect())) == [("n", 0), ("t", None)]
+
+
+def written_document(built, silver, decisions, **changes):
+    counts = {"bronze_records": 9, "quarantine_records": 1, "decisions": decisions.count(), **changes}
+    counts = {**{n: f.count() for n, f in silver.items()}, **counts}
+    return document.dashboard_document(built, counts, {n: f.count() for n, f in built.items()}, AS_OF)
+
+
+def test_document_reconciles(tables):
+    silver, decisions, built = tables
+    good = written_document(built, silver, decisions)
+    document.check_contract(good.schema)
+    assert good.columns == list(document.SECTIONS) and red(document.document_gates(good)) == set()
+    row = good.first()
+    assert row.metadata.refreshed_at == "2024-06-01T00:00:00Z" and row.metadata.source_customers == silver["customers"].count()
+    assert list(row.metadata.gold_row_counts.asDict()) == sorted(built)
+    assert len(row.daily_business_kpis) == built["daily_business_kpis"].count()
+    off = written_document(built, silver, decisions, payments=1, customers=0)
+    assert red(document.document_gates(off)) == {"document_payments_reconcile", "document_customers_reconcile"}
+
+
+def test_document_contract(spark, tables, monkeypatch):
+    silver, decisions, built = tables
+    good = written_document(built, silver, decisions)
+    with pytest.raises(document.BadDocument, match="customer_risk_segments"):
+        document.check_contract(good.drop("customer_risk_segments").schema)
+    assert red(document.document_gates(good.withColumn("seller_risk_watchlist", F.expr("array(struct(1 AS seller_id))")))) == {
+        "document_has_no_identifiers"
+    }
+    deep = good.withColumn("metadata", F.expr("struct(array(map('k', struct(1 AS order_id))) AS deep)"))
+    with pytest.raises(IdentifierLeak, match="metadata.deep.order_id"):
+        document.check_contract(deep.schema)
+    with pytest.raises(document.BadDocument, match="no rows"):
+        document.check_contract(good.withColumn("daily_fraud_kpis", F.lit(1)).schema)
+    monkeypatch.setattr(document, "MAX_ROWS", 1)
+    with pytest.raises(document.BadDocument, match="a document holds 1"):
+        written_document(built, silver, decisions)
+
+
+def test_empty_document(spark, tables):
+    silver, decisions, built = tables
+    none = {name: frame.limit(0) for name, frame in built.items()}
+    empty = written_document(none, {n: f.limit(0) for n, f in silver.items()}, decisions.limit(0))
+    assert empty.first().daily_business_kpis == [] and red(document.document_gates(empty)) == set()

@@ -9,6 +9,7 @@ from change_records import raw_frame, record
 from riskmart import jobs
 from riskmart.contracts import CSV_COLUMNS
 from riskmart.operators.gates import GateFailure
+from riskmart.plans import document
 from riskmart.plans.verification import PRE_PUBLISH, PUBLISHED
 from riskmart.sources.change_log import log_from_files
 from riskmart.sources.csv_snapshot import write_csv
@@ -88,9 +89,21 @@ def test_gold_gates_and_extract(lake):
 
 
 def test_summary(lake):
-    frames = jobs.summary(lake)
-    assert {r.topic: r["count"] for r in frames["topics"].collect()}["commerce.commerce.payments"] == 5
-    assert frames["actions"].count() == 2 and frames["reasons"].count() == 2
+    row = jobs.summary(lake).collect()[0]
+    assert row.topic_counts["commerce.commerce.payments"] == 5 and row.bronze_records == len(FIRST) + len(SECOND)
+    assert len(row.action_counts) == 2 and len(row.reason_counts) == 2
+    assert row.silver_counts == {"customers": 3, "orders": 1, "payments": 3, "chargebacks": 1}
+    assert set(row.gold_duplicate_keys.values()) == {0} and row.quarantine_records == 1
+
+
+def test_document_is_published_whole(lake):
+    text = lake.spark.read.text(lake.gold._latest()[1]["dashboard_document"]["folders"]["all"][0]).collect()
+    found = json.loads(text[0][0])
+    assert len(text) == 1 and list(found) == list(document.SECTIONS)
+    assert found["metadata"]["source_payments"] == 3 and found["metadata"]["quarantine_records"] == 1
+    assert found["metadata"]["gold_row_counts"]["customer_360"] == 3
+    assert found["seller_risk_watchlist"][0]["seller_rank"] == 1
+    assert sum(r["payment_count"] for r in found["daily_business_kpis"]) == 3
 
 
 def test_identifiers_stay_inside(spark, lake):
@@ -110,6 +123,20 @@ def test_gold_is_not_built_on_unmatched_chargebacks(spark, tmp_path):
     assert not lake.gold.exists("customer_360")
 
 
+def test_gold_that_does_not_reconcile_is_never_seen(spark, tmp_path, monkeypatch):
+    lake = jobs.Lakehouse(spark, str(tmp_path / "house"), buckets=2)
+    raw_frame(spark, FIRST).write.parquet(str(tmp_path / "log"))
+    run_streams(spark, lake, str(tmp_path / "log"))
+    whole = jobs.gold.gold_tables
+    monkeypatch.setattr(
+        jobs.gold, "gold_tables",
+        lambda *a: {n: t.limit(0) if n == "seller_performance" else t for n, t in whole(*a).items()},
+    )
+    with pytest.raises(GateFailure, match="seller_total_equals_payments"):
+        jobs.refresh_gold(lake)
+    assert not lake.gold.exists("customer_360")
+
+
 @pytest.fixture(scope="module")
 def csv_folder(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("csv")

@@ -14,7 +14,10 @@ from riskmart.plans.market_gold import payment_context
 from riskmart.plans.silver_cdc import newest_changes, parse_records
 from riskmart.registry import QUERIES
 
-WRITERS = {"csv_reviews", "csv_row_counts", "stream_final_state"}
+WRITERS = {
+    "csv_reviews", "csv_row_counts", "stream_final_state", "stream_restarted", "gates_summary", "pipeline_summary",
+    "extract_document", "extract_document_gates",
+}
 
 
 def plan_of(frame):
@@ -27,11 +30,26 @@ def test_no_python_and_no_pairwise_joins(spark, name):
     assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
-@pytest.mark.parametrize("name", ["seller_watchlist", "top_sellers", "top_risky_payments", "replay_order_slice"])
+@pytest.mark.parametrize("name", ["seller_watchlist", "top_sellers", "top_risky_payments"])
 def test_top_rows_are_cut_before_the_exchange(spark, name):
     assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, SMALL))
 
 
+def test_slice_of_orders_passes_no_single_task(spark):
+    plan = plan_of(QUERIES["replay_order_slice"](spark, SMALL))
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "SinglePartition" not in plan
+
+
+def test_gates_compute_no_gold_table_again(spark):
+    """Gold is scanned from where it was stored: for its keys, and for the sections of the extract."""
+    frame = QUERIES["gates_summary"](spark, SMALL)
+    scans = [line for line in plan_of(frame).splitlines() if "FileScan" in line and "ReadSchema" in line]
+    for name in ("daily_business_kpis", "daily_fraud_kpis", "seller_performance", "customer_360"):
+        own = [line for line in scans if f"riskmart-{name}" in line]
+        assert 1 <= len(own) <= 2 and all(line.count(":") < 60 for line in own)
+    assert not [line for line in scans if "customer.parquet" in line and "c_acctbal" not in line]
+
+
 def test_payload_is_parsed_once_and_below_the_filters(spark):
     parsed = parse_records(bronze_frame(spark, [record("payments", 1)]), PAYMENTS)
     plan = parsed.filter("size(_quality_errors) = 0 AND amount > 5").drop("raw_payload")._jdf.queryExecution()
