@@ -29,19 +29,25 @@ from riskmart.llm.suffix_ranks import spans_of
 
 WINDOW = 35
 GRAM = 6
-#: Letters start after the surrogates; a piece has far fewer distinct words than code points.
+#: Letters start after the surrogates. Where a piece has more distinct words than there are
+#: letters, a word is two letters, the first from one half of them and the second from the other.
 FIRST_LETTER = 0xE000
+LETTERS = 0x110000 - FIRST_LETTER
 PIECE = 512 << 10
 
 OUT_DDL = "doc_id long, n_words long, spans array<struct<start: int, end: int>>, kept string"
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 
-def as_letters(hashes: np.ndarray, bounds: np.ndarray) -> list[str]:
-    """Each text as a string with one letter per word; equal words are equal letters."""
+def as_letters(hashes: np.ndarray, bounds: np.ndarray, most: int = LETTERS) -> tuple[list[str], int]:
+    """Each text as a string of words, and the letters of a word; equal words are equal letters."""
     _, number = np.unique(hashes, return_inverse=True)
+    width = 1
+    if number.max(initial=0) >= most:
+        half, width = most // 2, 2
+        number = np.stack([number // half, half + number % half], axis=1).ravel()
     letters = (number + FIRST_LETTER).astype("<u4").tobytes().decode("utf-32-le")
-    return [letters[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return [letters[width * a : width * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], width
 
 
 def automaton(passages: set[str]) -> ahocorasick.Automaton | None:
@@ -54,14 +60,14 @@ def automaton(passages: set[str]) -> ahocorasick.Automaton | None:
     return found
 
 
-def _cut(window: int):
+def _cut(window: int, letters: int):
     def run(batches):
         for piece in pieces(batches, "blob", PIECE):
             data, offsets = unpack(piece.column("blob"))
             starts, ends, bounds = word_bounds(data, offsets)
-            texts = as_letters(word_hashes(data, starts, ends), bounds)
+            texts, width = as_letters(word_hashes(data, starts, ends), bounds, letters)
             passages = {
-                text[a:b]
+                text[width * a : width * b]
                 for text, (firsts, lasts) in zip(texts, spans_of(piece, window))
                 for a, b in zip(firsts.tolist(), lasts.tolist())
             }
@@ -71,9 +77,9 @@ def _cut(window: int):
             for i, text in enumerate(texts):
                 own = range(int(bounds[i]), int(bounds[i + 1]))
                 hits = np.array([(end + 1 - n, end + 1) for end, n in search.iter(text)] if search else [], np.int64)
-                firsts, lasts = merged_spans(*hits.reshape(-1, 2).T)
+                firsts, lasts = merged_spans(*hits.reshape(-1, 2).T // width)
                 out, at = [], 0
-                for a, b in [*zip(firsts.tolist(), lasts.tolist()), (len(text), len(text))]:
+                for a, b in [*zip(firsts.tolist(), lasts.tolist()), (len(own), len(own))]:
                     out += [raw[starts[k] : ends[k]] for k in own[at:a]]
                     at = b
                 kept.append(b" ".join(out).decode())
@@ -92,8 +98,10 @@ def _cut(window: int):
     return run
 
 
-def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeated_passages(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, letters: int = LETTERS
+) -> DataFrame:
     """doc_id, n_words, the removed spans (word offsets) and the kept words, joined by a space."""
     unit = Unit(words=True, window=window, gram=gram, rule=ANYWHERE)
     marks = repeated_stretches(docs, unit)
-    return marked_texts(docs, marks, "left").mapInArrow(_cut(window), OUT_DDL)
+    return marked_texts(docs, marks, "left").mapInArrow(_cut(window, letters), OUT_DDL)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.arrays import (
     U64, Stretches, merged_spans, mixed, pieces, signed, sliding_min, text_bytes, word_bounds, word_hashes,
 )
-from riskmart.llm.common import released, stored
+from riskmart.llm.common import released, stored, text_key
 
 EARLIER, ANYWHERE = "earlier", "anywhere"
 RUNS, RANKS, WINDOWS = "runs", "ranks", "windows"
@@ -41,12 +41,14 @@ OPEN, COVER, UNCLEAR, WITNESS = 0, 1, 2, 3
 #: NULL document numbers are taken as the largest.
 NO_ID = (1 << 63) - 1
 
-ROW_DDL = "a long, b long, id long, key int, at long"
+ROW_DDL = "a long, b long, id long, key long, at long"
 ROW_SCHEMA = pa.schema(
-    [("a", pa.int64()), ("b", pa.int64()), ("id", pa.int64()), ("key", pa.int32()), ("at", pa.int64())]
+    [("a", pa.int64()), ("b", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("at", pa.int64())]
 )
 #: ``at`` holds first window (31 bits), windows (24 bits), times (2 bits) and kind (2 bits).
 _N_BITS, _TIMES_BITS, _KIND_BITS = 24, 4, 4
+#: Most windows of a run or of a stretch in one row; a longer one is several.
+LONGEST = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -60,10 +62,10 @@ class Unit:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """id, key (32 bits of the text's hash, to part rows with equal ids) and text."""
+    """id, key (the text's hash, to part rows with equal ids or without one) and text."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("key"),
+        text_key(F.col("text")).alias("key"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
@@ -75,7 +77,7 @@ def _rows(*, kind, id, key, first, n, times=1, a=None, b=0) -> pa.RecordBatch:
     at = ((wide(first) << _N_BITS | wide(n)) << _TIMES_BITS | wide(times)) << _KIND_BITS | wide(kind)
     a = signed(mixed(np.asarray(id).astype(U64), 3)) if a is None else wide(a)
     return pa.record_batch(
-        [pa.array(a), pa.array(wide(b)), pa.array(wide(id)), pa.array(wide(key).astype(np.int32)), pa.array(at)],
+        [pa.array(a), pa.array(wide(b)), pa.array(wide(id)), pa.array(wide(key)), pa.array(at)],
         schema=ROW_SCHEMA,
     )
 
@@ -110,6 +112,14 @@ def symbols_of(data: np.ndarray, offsets: np.ndarray, words: bool) -> tuple[np.n
     return word_hashes(data, starts, ends), bounds
 
 
+def _parted(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges in parts of ``LONGEST`` at most: which range, first and size of every part."""
+    parts = -(-n // LONGEST)
+    owner = np.repeat(np.arange(len(n)), parts)
+    skipped = LONGEST * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+    return owner, first[owner] + skipped, np.minimum(n[owner] - skipped, LONGEST)
+
+
 def _runs(symbols: np.ndarray, bounds: np.ndarray, unit: Unit):
     """text index, first window (within its text), windows, group hash, content hash and
     whether the smallest gram comes twice, so that windows of the run may be equal."""
@@ -128,6 +138,8 @@ def _runs(symbols: np.ndarray, bounds: np.ndarray, unit: Unit):
     last_mask = valid.copy()
     last_mask[:-1] &= ~same[1:]
     last = np.flatnonzero(last_mask)
+    _, first, sizes = _parted(first, last - first + 1)
+    last = first + sizes - 1
     text = np.searchsorted(bounds, first, "right") - 1
     content = mixed(sums.of(first, last + w), 2)
     twice = np.zeros(len(first), bool)
@@ -186,9 +198,8 @@ def _spans(ids, keys, first, n, text, window) -> Iterator[pa.RecordBatch]:
     starts, ends = merged_spans(wide + first, wide + first + n + window - 1)
     place = {t: i for i, t in enumerate(text.tolist())}
     at = np.fromiter((place[t] for t in (starts >> 32).tolist()), np.int64, len(starts))
-    yield _rows(
-        kind=COVER, id=ids[at], key=keys[at], first=starts & 0xFFFFFFFF, n=ends - starts - window + 1,
-    )
+    owner, first, n = _parted(starts & 0xFFFFFFFF, ends - starts - window + 1)
+    yield _rows(kind=COVER, id=ids[at[owner]], key=keys[at[owner]], first=first, n=n)
 
 
 def _resolve(rule: str, level: str):
@@ -282,7 +293,7 @@ def packed(docs: DataFrame) -> DataFrame:
                 [piece.column("id"), piece.column("key"), pa.array(blobs, pa.binary())], names=["id", "key", "blob"]
             )
 
-    return identified(docs).mapInArrow(run, "id long, key int, blob binary")
+    return identified(docs).mapInArrow(run, "id long, key long, blob binary")
 
 
 def marked_texts(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:

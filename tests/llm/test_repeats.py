@@ -10,10 +10,12 @@ import pytest
 from helpers import AWKWARD, PROSE, frame, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from riskmart.llm import queries
+from riskmart.llm import queries, repeats
 from riskmart.llm.arrays import Stretches, merged_spans, sliding_min
-from riskmart.llm.phrase_automata import remove_repeated_passages
+from riskmart.llm.lsh_forest import near_duplicates, without_near_duplicates
+from riskmart.llm.phrase_automata import as_letters, remove_repeated_passages
 from riskmart.llm.suffix_ranks import remove_repeated_bytes
 
 LAST = 1 << 63
@@ -102,6 +104,47 @@ def test_passages_whose_end_comes_again_in_one_document(spark):
     assert collections.Counter((r.doc_id, r.n_words, r.kept) for r in found) == kept_words(rows, 35)
 
 
+@pytest.mark.parametrize("longest", [1, 7])
+def test_long_runs_in_several_rows(spark, monkeypatch, longest):
+    monkeypatch.setattr(repeats, "LONGEST", longest)
+    rows = [(1, "a" * 900), (2, "a" * 900), (3, "b" * 400), (4, "a" * 70 + PROSE), (5, PROSE + "b" * 60), (5, "a" * 51)]
+    found = remove_repeated_bytes(frame(spark, rows).repartition(3)).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in found) == kept_bytes(rows, 50)
+    rows = [(i, t.replace("a", "a ").replace("b", "b ")) for i, t in rows]
+    found = remove_repeated_passages(frame(spark, rows).repartition(3)).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.kept) for r in found) == kept_words(rows, 35)
+
+
+def test_parts_of_very_long_runs():
+    owner, first, n = repeats._parted(np.array([5, 100]), np.array([(1 << 24) + 10, 3]))
+    assert n.sum() == (1 << 24) + 13 and n.max() <= repeats.LONGEST and n.min() > 0
+    assert first[0] == 5 and (first[1:17] == first[:16] + n[:16]).all() and first[-1] == 100 and owner[-1] == 1
+
+
+def test_rows_without_id_whose_short_hashes_agree(spark):
+    """Two texts with nothing in common but 31 bits of their hash are two documents."""
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(39)), lambda j: F.concat("id", F.lit("x"), j)), " ")
+    texts = spark.range(300_000).select(text.alias("text")).withColumn("h", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)))
+    pair = texts.groupBy("h").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").first()
+    rows = [(1, pair.a), (None, pair.a), (None, pair.b), (7, pair.b + " and more"), (7, pair.a)]
+    docs = frame(spark, rows).repartition(2)
+    found = collections.Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in remove_repeated_bytes(docs).collect())
+    assert found == kept_bytes(rows, 50)
+    found = collections.Counter((r.doc_id, r.n_words, r.kept) for r in remove_repeated_passages(docs).collect())
+    assert found == kept_words(rows, 35)
+    docs = frame(spark, rows[:3])
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == {(1, 1), (None, 1), (None, None)}
+    assert sorted(r.text for r in without_near_duplicates(docs).collect()) == sorted([pair.a, pair.b])
+
+
+def test_more_distinct_words_than_letters(spark):
+    rows = noisy(6)[:40]
+    found = remove_repeated_passages(frame(spark, rows), letters=6).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.kept) for r in found) == kept_words(rows, 35)
+    texts, width = as_letters(np.arange(5, dtype=np.uint64), np.array([0, 5]), most=4)
+    assert width == 2 and len(texts[0]) == 10 and len({texts[0][k : k + 2] for k in range(0, 10, 2)}) == 5
+
+
 def test_spans_are_maximal(spark):
     rows = [(1, "x" * 10 + PROSE), (2, PROSE[:60] + "#" + PROSE[60:120])]
     found = {r.doc_id: r.spans for r in remove_repeated_bytes(frame(spark, rows)).collect()}
