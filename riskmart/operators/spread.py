@@ -44,18 +44,20 @@ def hot_keys(facts: DataFrame, key: str) -> DataFrame:
 
 
 def spread_join(
-    facts: DataFrame, lookup: DataFrame, key: str, spread_by: Sequence[str], how: str = "left"
+    facts: DataFrame, lookup: DataFrame, key: str, spread_by: Sequence[str], how: str = "left",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts to ``lookup`` on ``key``, splitting the heaviest keys over many tasks.
 
-    Hot keys are found by ``hot_keys``, one small aggregate over the key column. The facts
+    Hot keys are found by ``hot_keys``, one small aggregate over the key column; where the
+    facts are themselves a join, give ``hot`` from the table that the key comes from. The facts
     of these keys get a slot number from a hash of ``spread_by``, and only their lookup
     rows are copied once per slot: 2 / HOT_SHARE copies at most. The sketch decides where
     rows go and never which rows match, so the result is exact. At most 1 / HOT_SHARE rows
     are broadcast, whatever the size of the input. Facts without a key match nothing; they
     are spread as well instead of meeting in one task.
     """
-    hot = hot_keys(facts, key)
+    hot = hot_keys(facts, key) if hot is None else hot
     lone = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.lit(1))
     slots = F.coalesce("_slots", lone)
     spread_facts = facts.join(F.broadcast(hot), key, "left").withColumn(

@@ -306,6 +306,35 @@ part(
 )
 oracle("cdc_latest_per_key", "SELECT * FROM cust_newest", "cust_newest")
 oracle("cdc_current_state", "SELECT * FROM cust_newest WHERE _cdc_operation <> 'd'", "cust_newest")
+part(
+    "cust_intervals",
+    """SELECT * EXCLUDE (error_codes, valid_to), valid_to, valid_to IS NULL AS is_current FROM (
+      SELECT *, _source_lsn AS valid_from, lead(_source_lsn) OVER (PARTITION BY customer_id ORDER BY _source_lsn) AS valid_to
+      FROM (SELECT * FROM cust_codes WHERE error_codes = ''
+        QUALIFY row_number() OVER (PARTITION BY customer_id, _source_lsn
+          ORDER BY _kafka_timestamp DESC, _kafka_offset DESC) = 1))
+    WHERE _cdc_operation <> 'd'""",
+    "cust_codes",
+)
+oracle("customer_history", "SELECT * FROM cust_intervals", "cust_intervals")
+oracle(
+    "customers_as_of",
+    """SELECT * EXCLUDE (error_codes) FROM (SELECT * FROM cust_codes WHERE error_codes = '' AND _source_lsn <= 1001000
+      QUALIFY row_number() OVER (PARTITION BY customer_id
+        ORDER BY _source_lsn DESC, _kafka_timestamp DESC, _kafka_offset DESC) = 1) WHERE _cdc_operation <> 'd'""",
+    "cust_codes",
+)
+_moments = [(f"{m}m", f"RANGE BETWEEN INTERVAL {m} MINUTE PRECEDING AND CURRENT ROW") for m in (1, 5, 30)]
+oracle(
+    "customer_velocity",
+    "SELECT event_id, "
+    + ", ".join(
+        f"""count(*) OVER (PARTITION BY user_id ORDER BY ts {frame}) AS count_{name},
+      CAST(coalesce(sum(CAST(value AS DECIMAL(12,2))) OVER (PARTITION BY user_id ORDER BY ts {frame}), 0) AS DOUBLE) AS amount_{name}"""
+        for name, frame in _moments
+    )
+    + " FROM events",
+)
 oracle(
     "cdc_merge_actions",
     """SELECT CASE WHEN _source_lsn = 1 THEN 'keep' WHEN _cdc_operation = 'd' THEN 'delete' ELSE 'update' END

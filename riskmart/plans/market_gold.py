@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.operators.scoring import BANDS, HEURISTIC_RULES, LABEL_STATUS, graded, points, reasons
-from riskmart.operators.spread import spread_join
+from riskmart.operators.spread import hot_keys, spread_join
 
 FAILED = ("canceled", "unavailable")
 MONEY = "decimal(18,2)"
@@ -148,7 +148,8 @@ def payment_context(
     payments of a person to one task. Here payments are summed per order, orders per
     person, and the mean travels back the same way; payments themselves are joined
     once, at the end. The distinct steps shuffle all their columns, so Spark reuses
-    their exchanges wherever they are read again.
+    their exchanges wherever they are read again. Hot keys are looked for in one column of
+    a source table each, so no join is computed for that.
     """
     order_people = (
         spread_join(
@@ -157,6 +158,7 @@ def payment_context(
             "customer_id",
             ["order_id"],
             "inner",
+            hot=hot_keys(orders, "customer_id"),
         )
         .drop("customer_id")
         .distinct()
@@ -174,9 +176,10 @@ def payment_context(
     )
     best_review = reviews.groupBy("order_id").agg(F.max("review_score").alias("review_score"))
     order_side = spread_join(
-        order_people, person_mean, "customer_unique_id", ["order_id", "purchased_at", "order_status"]
+        order_people, person_mean, "customer_unique_id", ["order_id", "purchased_at", "order_status"],
+        hot=hot_keys(customers, "customer_unique_id"),
     ).join(best_review, "order_id", "left")
-    return spread_join(tenders, order_side, "order_id", tender_key, "inner")
+    return spread_join(tenders, order_side, "order_id", tender_key, "inner", hot=hot_keys(payments, "order_id"))
 
 
 def payment_risk_signals(

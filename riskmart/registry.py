@@ -14,16 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.contracts import CHARGEBACKS, CSV_COLUMNS, CUSTOMERS, ENTITIES, GOLD_GRAIN, ORDERS, PAYMENTS
+from riskmart.contracts import CHARGEBACKS, CSV_COLUMNS, CUSTOMERS, ENTITIES, GOLD_GRAIN, LINEAGE_COLUMNS, ORDERS, PAYMENTS
 from riskmart.functions.envelope import json_text
 from riskmart.jobs import DOCUMENT_TABLE, Lakehouse, curate, decide, ingest, publish_document
 from riskmart.operators import basket
 from riskmart.operators.first_n import first_n
 from riskmart.operators.gates import key_measures
+from riskmart.operators.history import state_at, validity_intervals
 from riskmart.operators.latest import newest_per_key
 from riskmart.operators.merge import insert_absent, merge_actions, merge_changes, upsert
 from riskmart.operators.observed import Observed
-from riskmart.operators.quality import CODES, MASK
+from riskmart.operators.quality import CODES, MASK, clean
+from riskmart.operators.velocity import velocity
 from riskmart.plans import decisions as risk
 from riskmart.plans import document, gold, market_gold, market_silver, serving, verification
 from riskmart.plans import silver_cdc as silver
@@ -196,6 +198,25 @@ def cdc_state_chargebacks(d: SampleDomain) -> DataFrame:
     return state_of_history(d, CHARGEBACKS)
 
 
+def customer_intervals(d: SampleDomain) -> DataFrame:
+    rows = clean(parsed(d, CUSTOMERS)).select(*CUSTOMERS.fields, *LINEAGE_COLUMNS)
+    place = [F.col("_kafka_timestamp"), F.col("_kafka_offset"), F.col("_kafka_partition")]
+    versions = newest_per_key(rows, ["customer_id", "_source_lsn"], place)
+    return validity_intervals(versions, "customer_id", "_source_lsn", F.col("_cdc_operation") == "d", width=1000)
+
+
+@query
+def customer_history(d: SampleDomain) -> DataFrame:
+    """Every version of a customer with the stretch of the log in which it held."""
+    return customer_intervals(d).drop("_processed_at")
+
+
+@query
+def customers_as_of(d: SampleDomain) -> DataFrame:
+    """The customers at a place in the middle of the log, from their history."""
+    return state_at(customer_intervals(d), 1_001_000).drop("_processed_at", "valid_from", "valid_to", "is_current")
+
+
 @query
 def cdc_merge_actions(d: SampleDomain) -> DataFrame:
     actions = merge_actions(*snapshot_and_changes(d), CUSTOMERS)
@@ -227,6 +248,15 @@ def reason_counts(d: SampleDomain) -> DataFrame:
     return risk.reason_counts(risk.decide(d.payments(), as_of()))
 
 
+@query
+def customer_velocity(d: SampleDomain) -> DataFrame:
+    """Activity of a customer in the 1, 5 and 30 minutes up to each of its events."""
+    events = d.table("events").select(
+        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(12,2)").alias("value")
+    )
+    return velocity(events, "event_id", "user_id", "ts", "value")
+
+
 # ---- gold ----------------------------------------------------------------------
 
 
