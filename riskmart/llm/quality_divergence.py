@@ -210,22 +210,19 @@ def _pair(p: Column, q: Column) -> Column:
     return left + right
 
 
-def _distance(counts: Column, total: Column, shares: Column) -> Column:
-    """Jensen-Shannon distance of counted bins from reference shares; NULL if empty.
+def _shares(counts: Column, total: Column) -> Column:
+    """Shares of a total; those of an empty one are not looked at."""
+    return F.transform(counts, lambda c: c / F.greatest(total, F.lit(1.0)))
 
-    What is left of the total is one more bin.
+
+def _distance(p: Column, total: Column, shares: Column) -> Column:
+    """Jensen-Shannon distance of the shares ``p`` of ``total`` from reference shares; NULL if empty.
+
+    What is left of either is one more bin.
     """
-    p = F.transform(counts, lambda c: c / total)
-    rest_p = F.greatest(
-        1.0 - F.aggregate(p, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)
-    )
-    rest_q = F.greatest(
-        1.0 - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)
-    )
-    bins = F.aggregate(
-        F.zip_with(p, shares, _pair), F.lit(0.0), lambda a, x: a + x
-    )
-    return F.when(total > 0, F.sqrt(F.greatest((bins + _pair(rest_p, rest_q)) / 2, F.lit(0.0))))
+    rest = lambda x: F.greatest(1.0 - F.aggregate(x, F.lit(0.0), lambda a, y: a + y), F.lit(0.0))
+    bins = F.aggregate(F.zip_with(p, shares, _pair), F.lit(0.0), lambda a, x: a + x)
+    return F.when(total > 0, F.sqrt(F.greatest((bins + _pair(rest(p), rest(shares))) / 2, F.lit(0.0))))
 
 
 def _verdicts(docs: DataFrame, common: int) -> DataFrame:
@@ -236,17 +233,22 @@ def _verdicts(docs: DataFrame, common: int) -> DataFrame:
     everything = sorted({f for w in common_words for f in (w, w.capitalize(), w.upper())})
     lang = F.coalesce(F.col("row.lang"), F.lit(""))
     base = measured(docs)
+    # Places of the words in the list of their language: numbers compare faster than words.
+    place = lambda w: F.array_position("ref.words", F.lower(w))
     counted = base.join(F.broadcast(refs), lang == F.col("ref_lang"), "left").withColumn(
-        "hits", F.transform(F.filter("words", lambda w: w.isin(everything)), lambda w: F.lower(w))
+        "hits", F.transform(F.filter("words", lambda w: w.isin(everything)), place)
     )
     length = F.length("body").cast("double")
     n = F.col("n_words").cast("double")
-    hits = F.transform("ref.words", lambda w: F.size("hits") - F.size(F.array_remove("hits", w)))
+    times = F.transform(
+        "ref.words", lambda _, i: F.size("hits") - F.size(F.array_remove("hits", (i + 1).cast("long")))
+    )
     known = F.col("ref_lang").isNotNull()
-    out = counted.withColumns(
+    # Shares are columns of their own, as a distance looks at them twice.
+    out = counted.withColumns({"char_p": _shares(F.col("chars"), length), "word_p": _shares(times, n)}).withColumns(
         {
-            "char_distance": F.when(known, _distance(F.col("chars"), length, F.col("ref.chars"))),
-            "word_distance": F.when(known, _distance(hits, n, F.col("ref.shares"))),
+            "char_distance": F.when(known, _distance(F.col("char_p"), length, F.col("ref.chars"))),
+            "word_distance": F.when(known, _distance(F.col("word_p"), n, F.col("ref.shares"))),
         }
     )
     length = F.greatest(F.length("body"), F.lit(1)).cast("double")

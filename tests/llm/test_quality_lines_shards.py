@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
+import unicodedata
 import zlib
 
 import duckdb
@@ -12,7 +14,7 @@ import pytest
 from helpers import AWKWARD, PROSE, SCHEMA, frame, words
 from pyspark.sql import functions as F
 
-from riskmart.llm import queries
+from riskmart.llm import quality_divergence, queries
 from riskmart.llm.kd_shards import kd_shards, numbered
 from riskmart.llm.line_windows import remove_repeated_windows
 from riskmart.llm.quality_divergence import judged, passing
@@ -127,3 +129,54 @@ def test_shards_of_awkward_rows(spark):
     assert len(found) == len(rows)
     assert {(r.doc_id, r.text_crc32) for r in found} == {(i, zlib.crc32((t or "").encode())) for i, t in rows}
     assert numbered(kd_shards(spark.createDataFrame([], SCHEMA), 4)).count() == 0
+
+
+def classes(text):
+    """Counts of character classes in the order of the operator."""
+    sets = {
+        "lower": lambda c: unicodedata.category(c) == "Ll", "blank": lambda c: c in " \t\n\x0b\x0c\r",
+        "upper": lambda c: unicodedata.category(c) == "Lu", "digit": lambda c: c in "0123456789",
+        "stop": lambda c: c in ".,;:!?'\"()-", "symbol": lambda c: c in "#*$%&|<>@^~_=+/\\{}[]`",
+    }
+    found = collections.Counter(next((n for n, has in sets.items() if has(c)), "other") for c in text)
+    return [found[n] for n in ("lower", "upper", "digit", "stop", "symbol", "blank", "other")]
+
+
+def divergence(counts, total, shares):
+    if not total:
+        return None
+    p = [c / total for c in counts]
+    p, q = [*p, max(0.0, 1 - sum(p))], [*shares, max(0.0, 1 - sum(shares))]
+    bits = lambda x, y: x * math.log2(2 * x / (x + y)) if x > 0 else 0.0
+    return math.sqrt(max(0.0, sum(bits(x, y) + bits(y, x) for x, y in zip(p, q)) / 2))
+
+
+def test_distances_and_verdicts_follow_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(quality_divergence, "LANGUAGE_WORDS", 2000)
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows += [(1000, None, "en"), (1001, "", None), (1002, "The THE the tHe 12 " * 30, "xx"), (1003, PROSE * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    common = 8
+    chars, vocabulary = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for _, text, lang in rows:
+        if len(text or "") >= quality_divergence.MIN_CHARS:
+            chars[lang or ""].update(dict(enumerate(classes(text))))
+            vocabulary[lang or ""].update(w.lower() for w in words(text))
+    refs = {}
+    for lang, times in vocabulary.items():
+        n = sum(times.values())
+        if n >= 2000:
+            top = sorted(times, key=lambda w: (-times[w], w))[:common]
+            refs[lang] = top, [times[w] / n for w in top], [chars[lang][k] / sum(chars[lang].values()) for k in range(7)]
+    assert len(refs) >= 2
+    forms = {f for top, _, _ in refs.values() for w in top for f in (w, w.capitalize(), w.upper())}
+    for r in judged(docs, common).collect():
+        text, ref = r.text or "", refs.get(r.lang or "")
+        n, _, _, _, _, failed = measures(text)
+        want = None, None
+        if ref:
+            hits = collections.Counter(w.lower() for w in words(text) if w in forms)
+            want = divergence(classes(text), len(text), ref[2]), divergence([hits[w] for w in ref[0]], n, ref[1])
+        assert (r.char_distance, r.word_distance) == (pytest.approx(want[0]), pytest.approx(want[1])), r.doc_id
+        near = (want[0] or 0) <= 0.2 + 0.8 / math.sqrt(max(1, len(text))) and (want[1] or 0) <= 0.16 + 2.2 / math.sqrt(max(1, n))
+        assert r.kept == (not failed and near)
