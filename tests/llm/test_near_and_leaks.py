@@ -6,10 +6,12 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import AWKWARD, PROSE, SCHEMA, frame, words
 from pyspark.sql import functions as F
 
+from riskmart.llm import lsh_forest
 from riskmart.llm.components import components
 from riskmart.llm.decontamination import Index, contaminations, decontaminated
 from riskmart.llm.lsh_forest import near_duplicates, without_near_duplicates
@@ -68,6 +70,42 @@ def test_components_follow_the_definition(spark, rows, k):
     assert collections.Counter(tuple(r) for r in found) == linked(rows, k)
 
 
+def crowd(seed, n, planted, edits, shared):
+    """Texts alike below the threshold, as each has its own changes of one base; some have an edited copy."""
+    random.seed(seed)
+    base = [f"b{k}" for k in range(240)]
+
+    def edited(text, count, tag):
+        text = list(text)
+        for k, at in enumerate(random.sample(range(len(text) // 6), count)):
+            text[6 * at] = f"{tag}x{k}"
+        return text
+
+    texts = [edited(base, edits, f"d{i}") for i in range(n)]
+    texts += [edited(text, shared, f"e{i}") for i, text in enumerate(random.sample(texts, planted))]
+    rows = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    random.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("edits, shared", [(5, 6), (6, 5)])
+def test_no_link_is_lost_in_a_crowd(spark, monkeypatch, edits, shared):
+    rows = crowd(edits, 500, 60, edits, shared)
+    for name, value in (("REGION_ROWS", 200), ("SKETCH_ROWS", 150), ("SET_ROWS", 40)):
+        monkeypatch.setattr(lsh_forest, name, value, raising=False)
+    found = near_duplicates(frame(spark, rows).repartition(3), words=4).collect()
+    assert collections.Counter(tuple(r) for r in found) == linked(rows, 4)
+
+
+def test_common_counts():
+    random.seed(5)
+    sets = [{*random.sample(range(300), 60), *range(300, 300 + k)} for k in range(50)]
+    h = np.array([x for own in sets for x in own], np.uint64)
+    owner = np.repeat(np.arange(50), [len(own) for own in sets])
+    found = lsh_forest.common_counts(h, owner, 50)
+    assert all(found[a, b] == len(sets[a] & sets[b]) for a in range(50) for b in range(50) if a != b)
+
+
 def test_one_of_each_group_stays_whole(spark):
     rows = [(2, PROSE, 7), (1, PROSE + " more", 8), (3, "other words here", 9), (4, None, 10), (5, "", 11)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key int")
