@@ -2,7 +2,9 @@
 
 from scales import MEDIUM
 
-from riskmart.registry import QUERIES
+from riskmart.registry import QUERIES, with_stored_payments
+from riskmart.session import apply_runtime_settings
+from riskmart.sources.sample_domain import SampleDomain
 
 
 def counted(spark, name, key="reason"):
@@ -44,3 +46,10 @@ def test_market_signals(spark):
     assert list(fired.values()) == [992, 13270, 45257, 19856, 8028]
     bands = {r[0]: r[1] for r in signals.groupBy("risk_band").count().collect()}
     assert bands["HIGH"] == 870 and bands["MEDIUM"] == 23150
+
+
+def test_log_of_stored_tables_is_the_same_without_joining_payments_again(spark):
+    d = SampleDomain(apply_runtime_settings(spark), MEDIUM)
+    held = with_stored_payments(d).change_stream()
+    assert not [f for f in held.inputFiles() if "lineitem" in f]
+    assert held.exceptAll(d.change_stream()).isEmpty() and d.change_stream().exceptAll(held).isEmpty()
