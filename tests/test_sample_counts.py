@@ -4,6 +4,7 @@ from scales import MEDIUM
 
 from riskmart.registry import QUERIES, with_stored_payments
 from riskmart.session import apply_runtime_settings
+from riskmart.sources import sample_domain
 from riskmart.sources.sample_domain import SampleDomain
 
 
@@ -53,3 +54,9 @@ def test_log_of_stored_tables_is_the_same_without_joining_payments_again(spark):
     held = with_stored_payments(d).change_stream()
     assert not [f for f in held.inputFiles() if "lineitem" in f]
     assert held.exceptAll(d.change_stream()).isEmpty() and d.change_stream().exceptAll(held).isEmpty()
+
+
+def test_parts_of_the_change_log_have_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(sample_domain, "ROWS_PER_TASK", 500, raising=False)
+    events = sample_domain.SampleDomain(apply_runtime_settings(spark), MEDIUM)._spread("events", "event_id")
+    assert events.count() == 10_000 and events.rdd.getNumPartitions() == 20
