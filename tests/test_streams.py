@@ -3,6 +3,7 @@
 import pyarrow as pa
 import pytest
 from change_records import raw_frame, record
+from pyspark.sql import functions as F
 
 from riskmart import jobs
 from riskmart.sources.change_log import BatchBound, log_from_files
@@ -111,3 +112,16 @@ def test_first_of_each_takes_any_batches():
     found = [tuple(r.values()) for b in first_of_each([batch, batch.slice(0, 0), batch]) for r in b.to_pylist()]
     assert found == [("a", 4, 7), ("b", 2, 3), ("c", None, 0)]
     assert list(first_of_each([])) == list(first_of_each([batch.slice(0, 0)])) == []
+
+
+def test_days_of_a_backlog_are_not_split_by_its_tasks(spark, tmp_path):
+    lake = jobs.Lakehouse(spark, str(tmp_path / "house"), bound=BatchBound(files=6))
+    log = str(tmp_path / "log")
+    days = [f"2024-03-0{k} 10:00:00" for k in range(1, 6)]
+    for part in range(6):
+        rows = raw_frame(spark, [record("customers", 10 * part + k, customer_id=f"c{k}") for k in range(5)])
+        when = F.element_at(F.array(*map(F.lit, days)), (F.col("offset") % 10 + 1).cast("int"))
+        rows.withColumn("timestamp", when.cast("timestamp")).coalesce(1).write.mode("append").parquet(log)
+    assert len(batches_of(ingest(spark, lake, log))) == 1
+    found = lake.bronze()
+    assert found.count() == 30 and len(found.inputFiles()) == 5
