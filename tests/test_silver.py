@@ -12,6 +12,7 @@ from riskmart.operators.quality import CODES, MASK, violations
 from riskmart.plans.silver_cdc import (
     all_fields, newest_changes, parse_records, quarantine_rows, read_records, validate,
 )
+from riskmart.session import RUNTIME_SETTINGS
 
 BY_NAME = {e.name: e for e in ENTITIES}
 
@@ -196,3 +197,19 @@ def test_rules_are_evaluated_once_in_generated_code(spark, entity):
         assert len(filters) == 1 and "trim" not in filters[0] and "MISSING" not in filters[0]
     plan = newest_changes(parsed, BY_NAME[entity])._jdf.queryExecution().optimizedPlan().toString()
     assert "MISSING_" not in plan
+
+
+@pytest.mark.parametrize("entity", ENTITIES, ids=lambda e: e.name)
+def test_rules_ask_once_whether_a_record_is_an_upsert(spark, entity):
+    """Asked by every rule, the compiled rules are too long for the JVM to translate."""
+    parsed = parse_records(bronze_frame(spark, [record("payments", 1)]), entity)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")  # else long projections are cut in the plan
+    try:
+        plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("IN (c,u,r)") == 1
+
+
+def test_long_methods_are_not_interpreted():
+    assert int(RUNTIME_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
