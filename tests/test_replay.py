@@ -22,6 +22,12 @@ def test_uuid_equals_python(spark):
     assert dns.u == str(uuid.uuid5(uuid.NAMESPACE_DNS, dns.name))
 
 
+def test_uuid_works_on_bytes(spark):
+    """Searching characters and encoding text took most of the time of a UUID."""
+    plan = spark.range(1).select(name_uuid(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "encode(" not in plan and "translate(" not in plan
+
+
 def test_entity_uuid_namespace(spark):
     one = spark.range(1)
     own = one.select(entity_uuid("seller", F.lit("s1"), "elsewhere")).first()[0]
