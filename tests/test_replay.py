@@ -6,11 +6,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from scales import SMALL
 
 from riskmart.functions.identity import DEFAULT_NAMESPACE, entity_uuid, name_uuid
 from riskmart.functions.values import mean_half_even
 from riskmart.operators.basket import basket_match
 from riskmart.plans.replay import ORDER_STATUS, Replay, order_slice, order_status, payment_status, payment_type
+from riskmart.registry import QUERIES
 
 
 def test_uuid_equals_python(spark):
@@ -183,3 +185,8 @@ def test_basket_match_without_catalogue(spark):
     catalogue = spark.sql("SELECT 1L AS product_key, CAST(1 AS DECIMAL(12,2)) AS unit_price").limit(0)
     row = basket_match(customers, catalogue).first()
     assert (row.in_band_baskets, row.in_band, row.product_key) == (0, False, None)
+
+
+def test_tasks_of_unmapped_orders_read_little(spark):
+    QUERIES["replay_unmapped"](spark, SMALL)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
