@@ -157,3 +157,9 @@ def test_context_with_one_order_and_person_for_a_third_of_the_payments(spark):
     ours = payment_context(orders, customers, payments, reviews).select(*textbook.columns)
     assert ours.count() == textbook.count() == 9000
     assert ours.exceptAll(textbook).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["daily_business_kpis", "extract_business_kpis", "currency_totals"])
+def test_business_figures_join_no_decisions(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1
