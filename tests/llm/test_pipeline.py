@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from riskmart.llm import arrays, lsh_forest
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -36,3 +40,14 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_functions_travel_without_what_the_driver_worked_out():
+    """The index of benchmark items hashes on the driver; powers of 33 MB went with every later function."""
+    data = np.frombuffer(b"some words", np.uint8)
+    hashes = arrays.word_hashes(data, np.array([0, 5]), np.array([4, 10]))
+    assert arrays._POWERS
+    for function in (lsh_forest._signatures(5), lsh_forest._confirm(5, 80), lsh_forest._dense(5, 80)):
+        assert len(cloudpickle.dumps(function)) < 1 << 20
+    there = cloudpickle.loads(cloudpickle.dumps(arrays.word_hashes))
+    assert (there(data, np.array([0, 5]), np.array([4, 10])) == hashes).all()
