@@ -21,6 +21,7 @@ result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import deque
@@ -30,10 +31,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.arrays import pieces
+from riskmart.llm.arrays import lowered, pieces, text_bytes, word_bounds
 
 SIZE = 2048
 END_ID = 1
@@ -44,10 +46,28 @@ MAX_GAP = 64
 BLOCK = 1 << 20
 #: Words whose ids a task remembers.
 CACHE_WORDS = 1 << 20
-#: str.split() takes these for white space, tokenizers do not.
-SEPARATORS, SPACES = re.compile("[\x1c-\x1f]"), re.compile(r"[ \t\n\r\x0b\x0c]+")
-#: Stops that stand alone between a letter and white space: a token run of their own.
-STOPS = re.compile(r"(?<=[a-z])([.,]+)(?=[ \n]|\Z)")
+#: White space of more than one byte. Separators are none for tokenizers; texts that hold some keep all of it, in words.
+SPACES = "[\u0085   -     　]"
+SEPARATORS = "[\x1c-\x1f]"
+#: Normalizers that leave small Latin letters as they are, and a split that takes letters, digits and all else apart.
+KNOWN_NORMALIZERS = [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]
+KNOWN_SPLIT = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Words that such a tokenizer takes as they are, in one run.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: ASCII marks, and bytes of ASCII letters and digits.
+_MARKS, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_MARKS[[k for k in range(33, 127) if not chr(k).isalnum()]] = True
+_ALNUM[[k for k in range(128) if chr(k).isalnum()]] = True
 MARK = "\x02"
 SENTENCE_ENDS = (".", "!", "?", "。", "！", "？")
 
@@ -80,24 +100,55 @@ class _Grown:
         self.size += len(values)
 
 
+def closing_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where in a word a run of ASCII marks begins that ends it and follows a letter or a digit."""
+    last = np.maximum.accumulate(np.where(_MARKS[data], -1, np.arange(len(data))))
+    at = last[ends - 1] + 1
+    at = at[(at > starts) & (at < ends)]
+    # Letters of two bytes are those of Latin-1, which have signs of times and division among them.
+    before, lead = data[at - 1], data[np.maximum(at - 2, 0)]
+    latin = (at > 1) & (lead == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    return at[_ALNUM[before] | latin]
+
+
 class Encoder:
     """Ids of texts under a tokenizer that never merges across white space.
 
-    Ids are kept per white-space-free word; new words are encoded in batches.
+    Ids are kept per white-space-free word; new words are encoded in batches. Under a tokenizer of
+    the known kind capitals and marks at the end of a word need no words of their own, and words of
+    small Latin letters pass the model only.
     """
 
     def __init__(self, path: str):
         # A task has one core; threads of the tokenizer would take those of other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # Without an id of its own for the mark, words are encoded one by one.
         own = self._ids([MARK])[0]
         self.mark = own[0] if len(own) == 1 else -1
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.known = bool(suffix) and self._parts() == (KNOWN_NORMALIZERS, KNOWN_SPLIT)
+        if self.known:
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
+            vocabulary = self.model.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
         self.clear()
 
+    def _parts(self) -> tuple:
+        """The steps before the model."""
+        parts = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if None in parts:
+            return parts
+        normalizer, split = (json.loads(x.__getstate__()) for x in parts)
+        return normalizer.get("normalizers"), split.get("pretokenizers")
+
     def clear(self) -> None:
         self.numbers = _Numbers()
         self.numbers.new = []
@@ -107,36 +158,72 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words and their number per word, parted by a mark whose id tells them apart."""
+        ids = np.array(self._ids([f" {MARK} ".join(words)])[0], np.int32)
+        edges = np.flatnonzero(ids == self.mark)
+        if len(edges) != len(words) - 1:  # a word holds the mark itself, or is very odd
+            found = self._ids(words)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+        return np.delete(ids, edges), np.diff(np.concatenate([[-1], edges, [len(ids)]])) - 1
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of plain words, whose last ids are known as such."""
+        ids = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        last = np.flatnonzero(self.last[ids])
+        return (ids, np.diff(last, prepend=-1)) if len(last) == len(words) else self._marked(words)
+
     def _encode_new(self) -> None:
-        """Words are encoded many at a time, parted by a mark whose id tells them apart."""
+        """Words are encoded many at a time."""
         new = self.numbers.new
-        for at in range(0, len(new), 1024):
-            some = new[at : at + 1024]
-            ids = np.array(self._ids([f" {MARK} ".join(some)])[0], np.int32)
-            edges = np.flatnonzero(ids == self.mark)
-            if len(edges) != len(some) - 1:  # a word holds the mark itself, or is very odd
-                found = self._ids(some)
-                lengths = np.fromiter(map(len, found), np.int64, len(found))
-                ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-            else:
-                lengths = np.diff(np.concatenate([[-1], edges, [len(ids)]])) - 1
-                ids = np.delete(ids, edges)
-            self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
-            self.lengths.extend(lengths)
-            self.ids.extend(ids)
+        plain = np.fromiter((self.known and PLAIN.fullmatch(w) is not None for w in new), bool, len(new))
+        starts, lengths = np.zeros(len(new), np.int64), np.zeros(len(new), np.int32)
+        for rows, encoded in ((np.flatnonzero(plain), self._plain), (np.flatnonzero(~plain), self._marked)):
+            for at in range(0, len(rows), 1024):
+                some = rows[at : at + 1024]
+                ids, n = encoded([new[k] for k in some.tolist()])
+                starts[some], lengths[some] = self.ids.size + np.cumsum(n) - n, n
+                self.ids.extend(ids)
+        self.starts.extend(starts)
+        self.lengths.extend(lengths)
         self.ends.extend(np.fromiter((w.endswith(SENTENCE_ENDS) for w in new), bool, len(new)))
         new.clear()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def _words(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of all texts, and per text the number of words before it."""
+        if pc.any(pc.match_substring_regex(texts, SPACES)).as_py():
+            apart = pc.match_substring_regex(texts, SEPARATORS)
+            texts = pc.if_else(apart, texts, pc.replace_substring_regex(texts, SPACES, " "))
+        data, offsets = text_bytes(texts)
+        if self.known:
+            small = lowered(data)
+            # Only a capital I with a dot and another sign above has other small signs, in another order.
+            at = np.flatnonzero((data[:-1] == ord("I")) & (data[1:] >= 0x80))
+            small[at] = ord("I")
+            data = small
+        starts, ends, bounds = word_bounds(data, offsets)
+        if self.known and len(starts):
+            at = closing_marks(data, starts, ends)
+            starts, ends = np.sort(np.concatenate([starts, at])), np.sort(np.concatenate([ends, at]))
+            bounds = np.searchsorted(starts, offsets, "left")
+        sizes = ends - starts
+        edges = np.append(0, np.cumsum(sizes))
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts] = 1
+        inside[ends] -= 1
+        full = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+        words = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(edges), pa.py_buffer(full))
+        return words.dictionary_encode(), bounds
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per text its ids, the number of ids per word, and which words end a sentence."""
         if len(self.numbers) > CACHE_WORDS:
             self.clear()
-        # Lower case and a space before a final stop leave the ids as they are, and many
-        # fewer words are different.
-        texts = [STOPS.sub(r" \1", text.encode().lower().decode()) for text in texts]
-        split = [text.split() if not SEPARATORS.search(text) else SPACES.split(text) for text in texts]
-        bounds = np.cumsum([0, *map(len, split)])
-        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, bounds[-1])
+        words, bounds = self._words(texts)
+        different = words.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, different), np.int64, len(different))
+        numbers = numbers[np.asarray(words.indices)]
         self._encode_new()
         lengths, ends = self.lengths.room[numbers].astype(np.int64), self.ends.room[numbers]
         before = np.append(0, np.cumsum(lengths))
@@ -257,8 +344,8 @@ def _pack(tokenizer: str, size: int, block: int):
         for piece in pieces(batches):
             if stream is None:
                 stream = Stream(piece.column("task")[0].as_py(), size)
-            texts = piece.column("text").to_pylist()
-            for doc_id, (ids, lengths, ends) in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts)):
+            encoded = encoder.encode(piece.column("text"))
+            for doc_id, (ids, lengths, ends) in zip(piece.column("doc_id").to_pylist(), encoded):
                 ids = np.append(ids, np.int32(END_ID))
                 stream.add(doc_id, ids, *boundaries(lengths, ends, min(MAX_GAP, size)))
                 if stream.pending >= block:

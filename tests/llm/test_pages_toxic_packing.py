@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, PROSE, SCHEMA, frame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 from riskmart.llm import queries
 from riskmart.llm.site_templates import main_texts, parse
 from riskmart.llm.toxicity_fm import held_out, learn, scored
-from riskmart.llm.window_packing import best_cuts, pack_windows
+from riskmart.llm.window_packing import Encoder, best_cuts, pack_windows
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -143,6 +144,26 @@ def test_little_padding(spark):
     assert 1 - used / (2048 * len(windows)) < 0.02
 
 
+def test_ids_are_those_of_the_library():
+    """Capitals, white space, signs on letters and marks at the end of words, which are words of their own."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    encoder = Encoder(TOKENIZER)
+    some = np.random.default_rng(5)
+    parts = [
+        *"abIXZ \u00e9\u00c9\u00df\u00d1\u00d7\u00f7.,!?'$%&*-_<|>\n\t\x02\x1c\x1f\x85\xa0\u2003\u2028\u3000019\u0663\u4e2d\u3002",
+        *"\u0338\u0301\u0307\u0323\u0130\u212a\u03a3\u2019\u00aa\u00b5\u017f\ufb01\u200b\U0001f600", "'s", "'t ", "<|endoftext|>",
+    ]
+    texts = ["".join(some.choice(parts, some.integers(0, 50))) for _ in range(4000)]
+    texts += ["", "I\u0307\u0338", "\u00e9" * 3000 + "!!", "ab.\u3000" * 300, " ", "a" * 5000, "\u00f7!! \u00d7?"]
+    for text, (ids, lengths, ends) in zip(texts, encoder.encode(pa.array(texts))):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+        assert len(lengths) == len(ends) and lengths.sum() == len(ids)
+    encoder.clear()
+    list(encoder.encode(pa.array(["Abc!! def!! ghi!!", "abc%%% def%%% \u00e9hi%%%\tghi"])))
+    assert set(encoder.numbers) == {"abc", "def", "ghi", "\u00e9hi", "!!", "%%%"}
+
+
 def test_cuts_are_the_cheapest():
     def brute(position, penalty, size):
         best = {0: 0}
