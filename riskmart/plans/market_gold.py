@@ -148,36 +148,39 @@ def payment_context(
     payments of a person to one task. Here payments are summed per order, orders per
     person, and the mean travels back the same way; payments themselves are joined
     once, at the end. The distinct steps shuffle all their columns, so Spark reuses
-    their exchanges wherever they are read again. Hot keys are looked for in one column of
-    a source table each, so no join is computed for that.
+    their exchanges wherever they are read again, also to look for hot keys. That takes the
+    same filters for all readers: rows without a key are left out before, and persons are
+    told from none after the mean, where a join would ask for that below one reader only.
     """
+    placed = (
+        orders.select("order_id", "customer_id", "purchased_at", "order_status")
+        .where(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull())
+        .distinct()
+    )
+    people = customers.select("customer_id", "customer_unique_id").where(F.col("customer_id").isNotNull()).distinct()
     order_people = (
-        spread_join(
-            orders.select("order_id", "customer_id", "purchased_at", "order_status").distinct(),
-            customers.select("customer_id", "customer_unique_id").distinct(),
-            "customer_id",
-            ["order_id"],
-            "inner",
-            hot=hot_keys(orders, "customer_id"),
-        )
+        spread_join(placed, people, "customer_id", ["order_id"], "inner", hot=hot_keys(placed, "customer_id"))
         .drop("customer_id")
         .distinct()
     )
     tender_key = ["payment_sequence", "payment_type", "installments", "payment_value_brl"]
-    tenders = payments.select("order_id", *tender_key).distinct()
+    tenders = payments.select("order_id", *tender_key).where(F.col("order_id").isNotNull()).distinct()
     order_totals = tenders.groupBy("order_id").agg(
         F.sum("payment_value_brl").alias("total"), F.count("payment_value_brl").alias("tenders")
     )
     mean = (F.sum("total") / F.sum("tenders")).cast("decimal(22,6)")
+    person = F.col("customer_unique_id")
     person_mean = (
         order_people.join(order_totals, "order_id")
-        .groupBy("customer_unique_id")
-        .agg(mean.alias("customer_average_brl"))
+        .groupBy(F.coalesce(person, F.lit("")).alias("_person"), person.isNull().alias("_none"))
+        .agg(mean.alias("customer_average_brl"), F.count(person).alias("_named"))
+        .where("_named > 0")
+        .select(F.col("_person").alias("customer_unique_id"), "customer_average_brl")
     )
     best_review = reviews.groupBy("order_id").agg(F.max("review_score").alias("review_score"))
     order_side = spread_join(
         order_people, person_mean, "customer_unique_id", ["order_id", "purchased_at", "order_status"],
-        hot=hot_keys(customers, "customer_unique_id"),
+        hot=hot_keys(people, "customer_unique_id"),
     ).join(best_review, "order_id", "left")
     return spread_join(tenders, order_side, "order_id", tender_key, "inner", hot=hot_keys(payments, "order_id"))
 

@@ -163,3 +163,32 @@ def test_context_with_one_order_and_person_for_a_third_of_the_payments(spark):
 def test_business_figures_join_no_decisions(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter") == 1
+
+
+def test_persons_of_orders_are_found_once(spark):
+    """Their two readers and the searches for hot keys share one scan and one join."""
+    signals = QUERIES["payment_risk_signals"](spark, SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(signals)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"FileScan parquet \[[^\]]*o_custkey", plan)) == 1
+    assert len(re.findall(r"FileScan parquet \[[^\]]*c_custkey", plan)) == 1
+
+
+def test_persons_without_a_name_have_no_mean(spark):
+    orders = spark.sql(
+        "SELECT string(id) order_id, string(id) customer_id, timestamp'2024-01-01' purchased_at, 'x' order_status FROM range(5)"
+    )
+    customers = spark.createDataFrame(
+        [("0", None), ("1", None), ("2", ""), ("3", "p"), ("4", "p")], "customer_id string, customer_unique_id string"
+    )
+    payments = spark.sql(
+        "SELECT string(id) order_id, 1 payment_sequence, 'y' payment_type, 1 installments, "
+        "CAST(10 * (id + 1) AS decimal(14,2)) payment_value_brl FROM range(5)"
+    )
+    reviews = spark.createDataFrame([], "order_id string, review_score int")
+    found = payment_context(orders, customers, payments, reviews).select("order_id", "customer_unique_id", "customer_average_brl")
+    want = {"0": (None, None), "1": (None, None), "2": ("", 30), "3": ("p", 45), "4": ("p", 45)}
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == want
