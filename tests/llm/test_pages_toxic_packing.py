@@ -60,6 +60,63 @@ def test_templates_go_on_pages_without_an_article(spark):
     assert main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, pages):
+    """Text by page_id of pages given as (page_id, host, html)."""
+    rows = [(k, f"http://{host}/{k}", html) for k, host, html in pages]
+    found = main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.page_id for r in found) == sorted(k for k, *_ in pages)
+    return {r.page_id: r.text for r in found}
+
+
+def test_templates_go_in_articles_too(spark):
+    notice, lines = "<div>Sign up for our weekly letter</div>", "<p>All rights reserved by the author.</p>"
+    pages = [(k, "a", f"<nav>n</nav><article><h1>T {k}</h1><p>story {k}</p>{notice}</article>") for k in range(6)]
+    # Only in a part of a large host, in whatever share of it.
+    pages += [
+        (100 + k, "b", f"<main><p>a long enough story {k}, told</p>{'<ul><li>Also read this</ul>' if k < 5 else ''}</main>")
+        for k in range(300)
+    ]
+    # What an author repeats stays, unless it is all over the site.
+    pages += [(500 + k, "c", f"<article><p>story {k}</p>{lines if k < 6 else ''}</article>") for k in range(20)]
+    pages += [(600 + k, "d", f"<article><p>story {k}</p>{lines}</article>") for k in range(6)]
+    # Stories that are almost the same on some pages, and an article that is nothing else.
+    parts = "".join(f"<div>paragraph {k} of a story</div>" for k in range(5))
+    pages += [(700 + k, "e", f"<article>{parts if k < 4 else ''}<p>version {k}</p></article>") for k in range(12)]
+    pages += [(800, "a", f"<article>{notice}</article>")]
+    found = texts_of(spark, pages)
+    assert all(found[k] == f"T {k} story {k}" for k in range(6))
+    assert all(found[100 + k] == f"a long enough story {k}, told" for k in range(300))
+    assert all(found[500 + k] == f"story {k}" + " All rights reserved by the author." * (k < 6) for k in range(20))
+    assert all(found[600 + k] == f"story {k}" for k in range(6))
+    story = " ".join(f"paragraph {k} of a story" for k in range(5))
+    assert all(found[700 + k] == (f"{story} " if k < 4 else "") + f"version {k}" for k in range(12))
+    assert found[800] == "Sign up for our weekly letter"
+
+
+def test_copies_of_a_page_are_one_content(spark):
+    pages = [(k, "h", "<div>a story</div><p>and its end</p>") for k in (1, 1, 2, 3, 4, 5)]
+    assert set(texts_of(spark, pages).values()) == {"a story and its end"}
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div>x</div><article class='post share comments-open'>a</article>", "a"),
+        ("<div class='social-content'><article>a<div class=share>s</div></article></div>b", "a"),
+        ("<div id='menu-page'>m<article>a</article></div>", "a"),
+        ("<div class=sidebar><article>s</article></div><article>a</article>", "a"),
+        ("<div>story</div><div id=comments><article>c</article></div><article class=comment>d</article>", "story"),
+        ("<nav><article>n</article></nav>story", "story"),
+        ("<article>a<article class=share>s</article></article>", "a"),
+    ],
+)
+def test_class_words_drop_no_only_article(page, text):
+    blocks, subtrees = parse(page)
+    inside = [t for t, marked in blocks if marked]
+    assert " ".join(inside or [t for t, _ in blocks]) == text
+    assert all(0 <= first <= end <= len(blocks) for _, first, end in subtrees)
+
+
 def test_pages_give_the_texts_they_were_made_of(spark):
     pages = queries.QUERIES["op5_site_templates"](spark, MEDIUM).collect()
     texts = {" ".join(r.text.split()) for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
