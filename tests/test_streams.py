@@ -1,11 +1,15 @@
 """Bounded batches, restarts, and one decision per payment by keyed state."""
 
+import os
+import re
+
 import pyarrow as pa
 import pytest
 from change_records import raw_frame, record
 from pyspark.sql import functions as F
 
 from riskmart import jobs
+from riskmart.session import TIDY_SETTINGS
 from riskmart.sources.change_log import BatchBound, log_from_files
 from riskmart.streaming import pipeline
 from riskmart.streaming.state import STATE_SETTINGS, first_of_each
@@ -89,12 +93,53 @@ def test_one_decision_in_and_across_batches(spark, lake, tmp_path, horizon):
     assert any("rocksdb" in k for k in query.lastProgress.stateOperators[0].customMetrics)
 
 
+def files_below(folder, end):
+    return [f"{at}/{name}" for at, _, names in os.walk(folder) for name in names if name.endswith(end)]
+
+
+def test_batches_leave_no_shuffle_cache_or_scratch_behind(spark, lake, tmp_path):
+    log = str(tmp_path / "log")
+    write(spark, log, *([record("payments", 10 * k + j, transaction_id=f"t{j}") for j in range(9)] for k in range(3)))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    blocks = lambda: set(re.findall(r"(?:shuffle|rdd)_\w+", disk.getAllFiles().mkString(" ")))
+    before = blocks()
+    ingest(spark, lake, log).awaitTermination()
+    for start in (jobs.curate, jobs.decide):
+        start(lake, drain=True).awaitTermination()
+    assert blocks() <= before
+    assert not files_below(f"{lake.root}/silver/_scratch", ".parquet")
+    assert lake.silver.read("payments").count() == lake.decisions.read(pipeline.DECISIONS).count() == 9
+    written = [f for folder in ("bronze", "decisions") for f in files_below(f"{lake.root}/{folder}", ".parquet")]
+    assert written and all(".zstd." in f for f in written)
+
+
+def test_a_store_with_a_history_does_not_grow_by_its_past(spark, lake, tmp_path):
+    log = str(tmp_path / "log")
+    write(spark, log, *([record("customers", 5 * k + j, customer_id=f"c{j}", op="u") for j in range(4)] for k in range(4)))
+    ingest(spark, lake, log).awaitTermination()
+    short = jobs.Lakehouse(spark, lake.root, buckets=2, bound=lake.bound, history=1)
+    assert len(batches_of(jobs.curate(short, drain=True))) == 4
+    assert sorted(r._source_lsn for r in short.silver.read("customers").collect()) == [15, 16, 17, 18]
+    named = {f for e in short.silver._latest()[1].values() for parts in e["folders"].values() for f in parts}
+    assert {os.path.dirname(f) for f in files_below(f"{lake.root}/silver", ".parquet")} == named
+    assert len(files_below(f"{lake.root}/silver/_manifests", ".json")) == 1
+
+
+def test_rejected_records_keep_their_text(spark, lake, tmp_path):
+    log = str(tmp_path / "log")
+    bad = record("payments", 2, amount="-1.00")
+    write(spark, log, [record("payments", 1, transaction_id="t1"), bad, record("orders", 3)])
+    ingest(spark, lake, log).awaitTermination()
+    jobs.curate(lake, drain=True).awaitTermination()
+    assert [r.raw_payload for r in lake.silver.read(pipeline.QUARANTINE).collect()] == [bad[5].decode()]
+
+
 def test_settings_of_the_caller_are_left_alone(spark, lake, tmp_path):
-    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    before = {key: spark.conf.get(key, None) for key in (*STATE_SETTINGS, *TIDY_SETTINGS)}
     write(spark, str(tmp_path / "log"), [record("payments", 1)])
     ingest(spark, lake, str(tmp_path / "log")).awaitTermination()
     jobs.decide(lake, drain=True).awaitTermination()
-    assert {key: spark.conf.get(key, None) for key in STATE_SETTINGS} == before
+    assert {key: spark.conf.get(key, None) for key in before} == before
 
 
 def test_stop_in_the_middle_and_restart(spark, lake, tmp_path):
